@@ -18,7 +18,7 @@ scores are 0.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,18 +155,22 @@ def score_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_reference: int = MAX_REFERENCE, threshold: float = 0.3
 ) -> DataFrame:
     """One row per document: id, held_out, score, predicted."""
+    score = scorer(docs, labels, id_col, text_col, label_col, max_reference)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), score(F.col(text_col)).alias("score"))
+    return rows.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def scorer(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_reference: int):
+    """A function of a text column that gives the score column."""
     space = fit(labelled_sample(docs, labels, label_col, id_col, text_col, max_reference // 2))
 
-    def run(batches):
-        for batch in batches:
-            scores = space.score([t or "" for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64())], ["id", "score"])
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(space.score([t or "" for t in texts]))
 
-    scored = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, score double")
-    return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return score
 
 
-def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_reference: int = MAX_REFERENCE, threshold: float = 0.3) -> DataFrame:
     """The documents that the classifier accepts, with all their columns."""
-    kept = score_quality(docs, labels, id_col, text_col).where("predicted = 1").select(F.col(id_col).alias("__kept_id"))
-    return docs.join(kept, docs[id_col] == kept["__kept_id"], "left_semi")
+    return docs.where(scorer(docs, labels, id_col, text_col, label_col, max_reference)(F.col(text_col)) >= threshold)
