@@ -145,7 +145,7 @@ def split_person_name(x: Column) -> Column:
 def split_outside_parentheses(x: Column) -> Column:
     """Parts between ``;`` or ``|`` that no bracket encloses (one level deep)."""
     marked = F.regexp_replace(x, r"[;|](?![^(\[]*[)\]])", "\u0001")
-    return F.filter(F.transform(F.split(marked, "\u0001"), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(marked, "\u0001"), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def yes_no(x: Column) -> Column:
