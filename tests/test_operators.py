@@ -5,8 +5,10 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cordillera.operators import aggregates, audits, blocking, components, linkage, merge, routing
+from cordillera.operators import aggregates, audits, blocking, cohorts, components, entities, linkage, merge, reconcile, routing
+from cordillera.plans import runs
 from cordillera.sources import pages, publication, tables
 from cordillera.streaming import incremental
 
@@ -176,3 +178,70 @@ def test_increments(spark, tmp_path):
     states = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("j", 1, "c")], "k string, t int, s string")
     assert rows(incremental.latest(states, "k", ["t"])) == [("j", 1, "c"), ("k", 2, "b")]
     assert rows(incremental.changed(states, states.where("t = 1"), ["k", "t"])) == [("k", 2, "b")]
+
+
+def test_identity_ladder_and_shapes(spark):
+    df = spark.createDataFrame([(1, "t", 2020), (2, "t", 2020), (3, "t", None), (4, None, None)], "i int, t string, y int")
+    key, rule = entities.identity([("title_year", [F.col("t"), F.col("y")])], [F.col("i")])
+    got = {r["i"]: (r["k"], r["rule"]) for r in df.select("i", key.alias("k"), rule.alias("rule")).collect()}
+    assert got[1] == got[2] and got[1][1] == "title_year" and got[3][1] == got[4][1] == "source" and got[3][0] != got[4][0]
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("tags", T.ArrayType(T.StringType())), T.StructField("t", T.StringType())])
+    assert rows(entities.complete_shape(df.select("i", F.col("t").alias("tags"), "t"), schema)) == [(1, [], "t"), (2, [], "t"), (3, [], "t"), (4, [], "")]
+
+
+def test_constraints_hold_over_whole_components(spark):
+    df = spark.createDataFrame([(1, "k", "CO"), (2, "k", None), (3, "k", "PE"), (2, "j", None), (4, "j", "PE"), (5, "j", "CO")], "m int, k string, c string")
+    got = dict(rows(entities.constraint_components(df, "m", "k", ["c"])))
+    values = {1: "CO", 3: "PE", 4: "PE", 5: "CO"}
+    for a, b in itertools.combinations(values, 2):
+        assert got[a] != got[b] or values[a] == values[b]
+    ids = spark.createDataFrame([("a", 1, 0), ("b", 2, 0), ("b", 3, 0), ("c", 4, 1), ("c", 5, 2)], "c string, m int, p int")
+    canonical = {r["c"]: r["canonical_id"] for r in entities.canonical_ids(ids, "c", "m", "p").collect()}
+    assert canonical["a"] == "1" and len(canonical["b"]) == 64 and canonical["c"] == "5"
+
+
+def test_reconciliation(spark):
+    values = spark.createDataFrame([("10.1", x) for x in ("journal.2020.12", "journal.2020", "journal.2021.12", "other.9")], "p string, s string")
+    pairs = reconcile.similar_pairs(values, "p", "s", F.substring("s", 1, 3))
+    assert rows(pairs, "left_suffix", "right_suffix", "how") == [("journal.2020", "journal.2020.12", "truncation"), ("journal.2020.12", "journal.2021.12", "edit")]
+    checks = spark.createDataFrame([("journal.2020", "rejected"), ("journal.2020.12", "verified"), ("journal.2021.12", "verified")], "s string, st string")
+    decided = reconcile.decisions(pairs, checks, "left_suffix", "right_suffix", "s", "st")
+    assert rows(decided, "decision") == [("confirmed_correction",), ("review",)]
+    docs = spark.createDataFrame([(1, ["x", "journal.2020", "journal.2020.12"]), (2, ["y"])], "i int, v array<string>")
+    assert rows(reconcile.apply_corrections(docs, "i", "v", reconcile.corrections(decided)), "i", "v") == [(1, ["x", "journal.2020.12"]), (2, ["y"])]
+
+
+def test_cohorts(spark):
+    priority, reference = spark.range(40).withColumnRenamed("id", "code"), spark.range(20, 60).withColumnRenamed("id", "code")
+    got = rows(cohorts.cohort(priority, reference, 5, "s"), "segment", "code")
+    assert [s for s, _ in got] == ["new"] * 5 + ["refresh"] * 5 and all((c < 20) == (s == "new") for s, c in got)
+    union = cohorts.ordered_union([(priority, F.col("code")), (reference, F.col("code"))])
+    assert {r["code"]: r["rank"] for r in union.collect()} == {c: int(c >= 40) for c in range(60)}
+
+
+def test_runs_resume(spark, tmp_path):
+    calls = []
+
+    def stage(name, fail=False):
+        def act(session, done):
+            calls.append(name)
+            if fail and calls.count(name) == 1:
+                raise ValueError("first time")
+            return session.range(3) if not done else done["one"].withColumn("x", F.lit(name))
+
+        return act
+
+    run = runs.Run(spark, f"file://{tmp_path}/run", [("one", stage("one")), ("two", stage("two", fail=True))], {"two": lambda df: df.count() == 3})
+    with pytest.raises(ValueError):
+        run.execute()
+    assert run.plan() == [("one", "complete"), ("two", "failed")]
+    assert run.execute().count() == 3 and calls == ["one", "two", "two"] and run.plan()[1][1] == "complete"
+    store = runs.Store(spark, f"file://{tmp_path}/locks")
+    with runs.Lease(store, "l", 60):
+        with pytest.raises(RuntimeError):
+            runs.Lease(store, "l", 60).__enter__()
+    with runs.Lease(store, "l", 60, now=lambda: 0), runs.Lease(store, "l", 60):
+        pass
+    assert runs.merged({"a": {"b": 1, "c": 2}, "d": 3}, {"a": {"b": 9}}) == {"a": {"b": 9, "c": 2}, "d": 3}
+    with pytest.raises(KeyError):
+        runs.merged({"a": 1}, {"z": 1})
