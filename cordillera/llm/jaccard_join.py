@@ -43,9 +43,9 @@ from .words import mix, slices, spans_hash, words_of
 SHINGLE = 5
 PERCENT = 75
 #: Share of a set's hashes, in percent, that linked prefixes must have in common.
-COMMON = 15
+COMMON = 10
 #: Prefix hashes in one packed slice.
-SLICE = 500_000
+SLICE = 300_000
 #: Members of a region, or of a block of one, that a task compares at once.
 BLOCK = 256
 #: Documents up to which ids are broadcast to pick texts; more are joined by a shuffle.
@@ -119,26 +119,30 @@ def _prefixes(width: int, percent: int):
     return run
 
 
+def short_keys(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and low half of each hash. Different hashes with one key are rare, and only add candidates."""
+    return (hashes >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF)
+
+
 def _to_buckets(buckets: int):
-    """A slice's distinct prefix hashes by bucket, each marked if two of its documents have it."""
+    """A slice's distinct prefix keys by bucket, each marked if two of its documents have it."""
 
     def run(batches):
         for batch in batches:
             for name, prefix in zip(batch.column("slice").to_pylist(), batch.column("prefix")):
-                hashes, counts = np.unique(np.frombuffer(prefix.as_py(), np.uint64), return_counts=True)
-                bucket = ((hashes >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                hashes, twice, bucket = hashes[order], (counts > 1)[order], bucket[order]
+                keys, counts = np.unique(short_keys(np.frombuffer(prefix.as_py(), np.uint64), buckets), return_counts=True)
+                bucket = (keys >> np.uint64(32)).astype(np.int64)
+                low, twice = keys.astype(np.uint32), counts > 1
                 cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)] if len(bucket) else np.zeros(1, np.int64)
                 spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([int(bucket[a]) for a, _ in spans], pa.int32()),
                         pa.array([name] * len(spans), pa.string()),
-                        pa.array([hashes[a:b].tobytes() for a, b in spans], pa.binary()),
-                        pa.array([twice[a:b].tobytes() for a, b in spans], pa.binary()),
+                        pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
+                        pa.array([np.packbits(twice[a:b]).tobytes() for a, b in spans], pa.binary()),
                     ],
-                    ["bucket", "slice", "hashes", "twice"],
+                    ["bucket", "slice", "keys", "twice"],
                 )
 
     return run
@@ -168,22 +172,23 @@ def grouped(key: str, solve: Callable[[pa.Table], Iterator[pa.RecordBatch] | pa.
 
 
 def _shared(table: pa.Table) -> pa.RecordBatch:
-    """Of one bucket: for each slice its hashes that two documents or more have."""
-    parts = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("hashes")]
-    twice = np.frombuffer(b"".join(table.column("twice").to_pylist()), bool)
-    hashes = np.concatenate(parts)
-    source = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-    order = np.argsort(hashes, kind="stable")
-    same = np.zeros(len(hashes) + 1, bool)
-    same[1:-1] = hashes[order][1:] == hashes[order][:-1]
-    found = np.empty(len(hashes), bool)
+    """Of one bucket: for each slice its keys that two documents or more have."""
+    parts = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("keys")]
+    twice = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(k)).astype(bool) for x, k in zip(table.column("twice"), parts)])
+    keys = np.concatenate(parts)
+    order = np.argsort(keys, kind="stable")
+    same = np.zeros(len(keys) + 1, bool)
+    same[1:-1] = keys[order][1:] == keys[order][:-1]
+    found = np.empty(len(keys), bool)
     found[order] = same[1:] | same[:-1]
     found |= twice
-    kept = [hashes[found & (source == k)].tobytes() for k in range(len(parts))]
+    bucket = np.uint64(table.column("bucket")[0].as_py()) << np.uint64(32)
+    ends = np.cumsum([len(k) for k in parts])
+    kept = [(bucket | k[found[e - len(k) : e]]).astype(np.uint64).tobytes() for k, e in zip(parts, ends)]
     return pa.RecordBatch.from_arrays([table.column("slice").combine_chunks(), pa.array(kept, pa.binary())], ["slice", "shared"])
 
 
-def _survivors(percent: int):
+def _survivors(percent: int, buckets: int):
     """Documents that share enough prefix hashes with others: id, size, the shared hashes."""
 
     def run(batches):
@@ -191,8 +196,9 @@ def _survivors(percent: int):
             for row in batch.to_pylist():
                 shared = np.sort(np.frombuffer(b"".join(row["shared"]), np.uint64))
                 prefix = np.frombuffer(row["prefix"], np.uint64)
-                at = np.minimum(np.searchsorted(shared, prefix), max(0, len(shared) - 1))
-                hit = shared[at] == prefix if len(shared) else np.zeros(len(prefix), bool)
+                keys = short_keys(prefix, buckets)
+                at = np.minimum(np.searchsorted(shared, keys), max(0, len(shared) - 1))
+                hit = shared[at] == keys if len(shared) else np.zeros(len(prefix), bool)
                 owner = np.repeat(np.arange(len(row["ids"])), row["lengths"])
                 sizes = np.array(row["sizes"], np.int64)
                 count = np.bincount(owner[hit], minlength=len(sizes))
@@ -298,11 +304,11 @@ def jaccard_links(
     members = every.join(classes, ["size", "s", "m"], "left").select("id", "size", F.coalesce("rep", "id").alias("rep"))
 
     buckets = 4 * partitions(spark)
-    dealt = cut.select("slice", "prefix").mapInArrow(_to_buckets(buckets), "bucket int, slice string, hashes binary, twice binary")
+    dealt = cut.select("slice", "prefix").mapInArrow(_to_buckets(buckets), "bucket int, slice string, keys binary, twice binary")
     shared = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(grouped("bucket", _shared), "slice string, shared binary")
     lists = shared.groupBy("slice").agg(F.collect_list("shared").alias("shared"))
     some = cut.select("slice", "ids", "sizes", "lengths", "prefix").join(lists, "slice")
-    found = some.mapInArrow(_survivors(percent), "id long, size int, shared array<long>")
+    found = some.mapInArrow(_survivors(percent, buckets), "id long, size int, shared array<long>")
     hashes = settled(found.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "size", F.explode("shared").alias("hash")))
 
     # Pivots by hash; regions by pivot.
