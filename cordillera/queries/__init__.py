@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import audits, entities, history, identity, linkage, pages, scalar
+from . import audits, entities, history, identity, linkage, pages, scalar, works
 
-_PARTS = (scalar, identity, history, linkage, entities, audits, pages)
+_PARTS = (scalar, identity, history, works, linkage, entities, audits, pages)
 
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE_SQL = {name: sql for part in _PARTS for name, sql in part.ORACLE_SQL.items()}

@@ -6,7 +6,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from cordillera.functions import dates, identifiers, text
+from cordillera.functions import bibliography, dates, identifiers, text
 
 
 def values(spark, f, inputs, kind="string"):
@@ -90,3 +90,31 @@ def test_membership(spark):
     assert values(spark, lambda x: dates.covers_year(dates.membership(x), F.lit(2010)), rows[:2]) == [False, True]
     assert values(spark, dates.years_in, ["from 1999 to 2031, 2005"]) == [[1999, 2005]]
     assert values(spark, dates.local_epoch, [dt.date(2020, 1, 1)], "date") == [1577854800]
+
+
+@pytest.mark.parametrize(
+    "function, cases",
+    [
+        (bibliography.clean_value, {" ;Revista X. ": "Revista X", "No aplica": None, "": None}),
+        (bibliography.clean_pages, {"pp. 12 - 15": "12-15", "15-12": None, "xii": None, "7": "7"}),
+        (bibliography.language_code, {"Español": "es", "klingon": None}),
+        (bibliography.sex, {"Mujer": "female", "x": None}),
+        (bibliography.document_kind, {"C.C.": "CC", "Pasaporte": "PA", "z": None}),
+        (bibliography.event_kind, {"Tipo: Congreso": "congreso", "fiesta": None}),
+        (bibliography.suspicious_publisher, {"ISSN 1234": True, "Editorial Norma": False}),
+        (bibliography.terms, {"a, b; a ,": ["a", "b"]}),
+        (bibliography.areas, {"Ciencias -- Física, Artes": [["Ciencias", "Física"], ["Artes"]]}),
+    ],
+    ids=lambda x: getattr(x, "__name__", None),
+)
+def test_bibliographic_fields(spark, function, cases):
+    assert values(spark, function, list(cases)) == list(cases.values())
+
+
+def test_bibliographic_structures(spark):
+    got = values(spark, bibliography.publisher_entities, ["Universidad A / Editorial B", "Norma", "http://x.org", "Casa / Perro"])
+    assert [g and [(e["name"], e["confidence"]) for e in g] for g in got] == [[("Universidad A", "medium"), ("Editorial B", "medium")], [("Norma", "high")], None, None]
+    fields = values(spark, lambda x: bibliography.labelled_fields(x, ["Editorial", "Lugar"]), ["Editorial: Norma S.A. Lugar: Cali"])
+    assert fields == [{"Editorial": "Norma S.A.", "Lugar": "Cali"}]
+    issue = values(spark, bibliography.issue_context, ["Rev X, ISSN 0378-5955 v. 12 n. 3"])[0]
+    assert tuple(issue) == ("12", "3", "0378-5955")
