@@ -10,8 +10,9 @@ and the words it covers are removed.
 Only minimisers that occur in two documents or more are packed at all; their counts
 come from a grouped sum of (minimiser, document) rows.  A minimiser with more than
 ``HOT`` occurrences does not go to one bucket: its windows, one by one, are grouped
-by a digest of their words, each task sending one row for each distinct window.
-Both ways compare whole windows, and no window is left out.
+by a digest of their words: each task keeps its own occurrences, sends one row for
+each distinct window of a slice of documents, and gets one back.  Both ways compare
+whole windows, and no window is left out.
 
 Windows are judged on the input.  Null texts have no words and stay as they are;
 texts shorter than a window keep all words; rows that repeat a document id are not
@@ -38,6 +39,12 @@ WINDOW = 50
 SEED = 8
 #: Occurrences beyond which a minimiser's windows are grouped one by one.
 HOT = 256
+#: Packed strings in one batch, and windows in one slice of hot runs.
+PACKED_ROWS = 20_000
+SLICE_WINDOWS = 200_000
+#: Documents with hot runs up to which these are broadcast; more are joined by a shuffle.
+BROADCAST_DOCS = 200_000
+HOT_SLICES = "slice string, ids array<long>, first array<long>, code array<long>, digests array<binary>, low array<long>, high array<long>"
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -74,34 +81,87 @@ def _occurrences(window: int, seed: int):
     return run
 
 
-def _packed(window: int, hot_only: bool):
-    """Packed strings of the listed runs of windows, or of hot runs a digest for each window."""
+def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[dict]]]:
+    """id, words and listed runs of windows of each document that has any."""
+    for part in slices(batches):
+        own = [(i, t, r) for i, t, r in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), part.column("runs").to_pylist()) if r]
+        for i, text, runs in own:
+            yield i, text.encode().split(), runs
+
+
+def _packed(window: int):
+    """One packed string for each listed run of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            words = words_of(part.column("text"))
-            ids = part.column("id").to_pylist()
-            lists = part.column("runs").to_pylist()
-            out: tuple[list, ...] = ([], [], [], [])
-            for i, own in enumerate(lists):
-                base, end = words.bounds[i], words.bounds[i + 1]
-                cut = [words.body[a:b].tobytes() for a, b in zip(words.starts[base:end].tolist(), words.ends[base:end].tolist())]
-                for r in own:
-                    if hot_only:
-                        for k in range(r["first"], r["first"] + r["n"]):
-                            out[0].append(hashlib.blake2b(b" ".join(cut[k : k + window]), digest_size=20).digest())
-                            out[1].append(ids[i])
-                            out[2].append(k)
-                    else:
-                        out[0].append(r["mini"])
-                        out[1].append(ids[i])
-                        out[2].append(r["first"])
-                        out[3].append(b" ".join(cut[r["first"] : r["first"] + r["n"] + window - 1]))
-            if hot_only:
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], ["digest", "id", "first"])
-            else:
-                columns = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["mini", "id", "first", "packed"])
+        out: tuple[list, ...] = ([], [], [], [])
+
+        def flush() -> pa.RecordBatch:
+            nonlocal out
+            columns = [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))]
+            out = ([], [], [], [])
+            return pa.RecordBatch.from_arrays(columns, ["mini", "id", "first", "packed"])
+
+        for i, words, runs in _cut_runs(batches):
+            for r in runs:
+                for x, y in zip(out, (r["mini"], i, r["first"], b" ".join(words[r["first"] : r["first"] + r["n"] + window - 1]))):
+                    x.append(y)
+            if len(out[0]) >= PACKED_ROWS:
+                yield flush()
+        yield flush()
+
+    return run
+
+
+def _hot_slices(window: int):
+    """The windows of listed runs by slice of documents: occurrences, and each distinct window once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, made = TaskContext.get().partitionId(), 0
+        known: dict[bytes, int] = {}
+        held: tuple[list, ...] = ([], [], [])
+
+        def flush() -> pa.RecordBatch:
+            nonlocal made, known, held
+            ids, first, code = (np.array(x, np.int64) for x in held)
+            low = np.full(len(known), np.iinfo(np.int64).max)
+            high = np.full(len(known), np.iinfo(np.int64).min)
+            np.minimum.at(low, code, ids)
+            np.maximum.at(high, code, ids)
+            columns = [pa.array([f"{task}-{made}"])]
+            columns += [pa.array([x], pa.list_(pa.int64())) for x in (ids, first, code)]
+            columns += [pa.array([list(known)], pa.list_(pa.binary()))] + [pa.array([x], pa.list_(pa.int64())) for x in (low, high)]
+            made, known, held = made + 1, {}, ([], [], [])
+            return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in HOT_SLICES.split(", ")])
+
+        for i, words, runs in _cut_runs(batches):
+            for r in runs:
+                for k in range(r["first"], r["first"] + r["n"]):
+                    digest = hashlib.blake2b(b" ".join(words[k : k + window]), digest_size=20).digest()
+                    for x, y in zip(held, (i, k, known.setdefault(digest, len(known)))):
+                        x.append(y)
+            if len(held[0]) >= SLICE_WINDOWS:
+                yield flush()
+        if held[0]:
+            yield flush()
+
+    return run
+
+
+def _hot_spans(window: int):
+    """Repeated spans of slices, given the least id that each of their windows has anywhere."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                low = np.full(row["size"], np.iinfo(np.int64).max)
+                for x in row["lows"]:
+                    low[x["at"]] = x["low"]
+                ids, first, code = (np.array(row[c], np.int64) for c in ("ids", "first", "code"))
+                found = low[code] < ids
+                spans = _spans(first[found], ids[found], window)
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in spans], ["id", "begin", "stop"])
 
     return run
 
@@ -179,19 +239,23 @@ def _bucket(window: int):
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED, hot: int = HOT) -> DataFrame:
     """Spans of words [begin, stop) that repeated windows cover: id, begin, stop; a document's spans may overlap."""
-    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    # The same rows are shuffled by id here and in _with_spans: Spark does it once.
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     runs = settled(texts.mapInArrow(_occurrences(window, seed), "mini long, id long, first int, n int"))
     counted = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = runs.join(counted.where("low < high").select("mini", "c"), "mini")
-    run = F.struct("mini", "first", "n")
-    listed = shared.groupBy("id").agg(F.collect_list(F.when(F.col("c") <= hot, run)).alias("cool"), F.collect_list(F.when(F.col("c") > hot, run)).alias("hot"))
-    found = texts.join(listed, "id")
-    cool = found.where(F.size("cool") > 0).select("id", "text", F.col("cool").alias("runs")).mapInArrow(_packed(window, False), "mini long, id long, first int, packed binary")
+    shared = settled(runs.join(counted.where("low < high").select("mini", "c"), "mini"))
+    listed = lambda rows: rows.groupBy("id").agg(F.collect_list(F.struct("mini", "first", "n")).alias("runs"))
+    cool = texts.join(listed(shared.where(F.col("c") <= hot)), "id").select("id", "text", "runs")
+    cool = cool.mapInArrow(_packed(window), "mini long, id long, first int, packed binary")
     spans = cool.repartition("mini").sortWithinPartitions("mini").mapInArrow(_bucket(window), "id long, begin long, stop long")
-    each = settled(found.where(F.size("hot") > 0).select("id", "text", F.col("hot").alias("runs")).mapInArrow(_packed(window, True), "digest binary, id long, first int"))
-    least = each.groupBy("digest").agg(F.min("id").alias("low"))
-    again = each.join(least, "digest").where("low < id").select("id", F.col("first").cast("long").alias("begin"), (F.col("first") + window).cast("long").alias("stop"))
-    return spans.unionByName(again)
+    warm = settled(listed(shared.where(F.col("c") > hot)))
+    warm = F.broadcast(warm) if warm.count() <= BROADCAST_DOCS else warm
+    held = settled(texts.join(warm, "id").select("id", "text", "runs").mapInArrow(_hot_slices(window), HOT_SLICES))
+    each = held.select("slice", F.posexplode(F.arrays_zip("digests", "low", "high")).alias("at", "x")).select("slice", "at", "x.digests", "x.low", "x.high")
+    least = each.groupBy("digests").agg(F.min("low").alias("low"), F.max("high").alias("top")).where("low < top").select("digests", "low")
+    back = each.select("slice", "at", "digests").join(least, "digests").groupBy("slice").agg(F.collect_list(F.struct("at", "low")).alias("lows"))
+    again = held.select("slice", "ids", "first", "code", F.size("digests").alias("size")).join(back, "slice")
+    return spans.unionByName(again.mapInArrow(_hot_spans(window), "id long, begin long, stop long"))
 
 
 def _kept(row_words: list[bytes], spans: list) -> list[bytes]:
@@ -204,7 +268,10 @@ def _kept(row_words: list[bytes], spans: list) -> list[bytes]:
 
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, window: int, seed: int, hot: int) -> DataFrame:
     spans = repeated_spans(docs, id_col, text_col, window, seed, hot).groupBy(F.col("id").alias("__span_id")).agg(F.collect_list(F.struct("begin", "stop")).alias("__spans"))
-    return docs.join(spans, docs[id_col] == spans["__span_id"], "left").drop("__span_id")
+    known = docs.where(docs[id_col].isNotNull())
+    out = known.join(spans, known[id_col] == spans["__span_id"], "left").drop("__span_id")
+    nameless = docs.where(docs[id_col].isNull()).withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType))
+    return out.unionByName(nameless)
 
 
 def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED, hot: int = HOT) -> DataFrame:
@@ -244,5 +311,5 @@ def substring_dedup(
 
     text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(cut(F.col(text_col), F.col("__spans")))
     out = marked.withColumn("__cut", text).where(F.col("__spans").isNull() | (F.col("__cut") != ""))
-    columns = [F.col("__cut").alias(text_col) if c == text_col else F.length("__cut").cast(docs.schema[c].dataType).alias(c) if c == chars_col else docs[c] for c in docs.columns]
+    columns = [F.col("__cut").alias(text_col) if c == text_col else F.length("__cut").cast(docs.schema[c].dataType).alias(c) if c == chars_col else F.col(f"`{c}`") for c in docs.columns]
     return out.select(*columns)
