@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +38,22 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Ids up to which a set of documents is broadcast; a larger one meets the documents in a shuffle.
+BROADCAST_IDS = 500_000
+
+
+def sized(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """``ids`` written once, and marked for broadcast only if it is counted to be small."""
+    ids = settled(ids)
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, most: int = BROADCAST_IDS) -> DataFrame:
+    """The documents whose id is not in ``gone`` (its first column); documents without an id stay."""
+    gone = sized(gone.select(F.col(gone.columns[0]).alias("__gone_id")), most)
+    return docs.join(gone, docs[id_col] == gone["__gone_id"], "left_anti")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whichever store holds it."""
     jvm = spark._jvm
@@ -47,3 +67,26 @@ def partitions(spark: SparkSession) -> int:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), name)
+
+
+def grouped(key: str, solve: Callable[[pa.Table], pa.RecordBatch]):
+    """A mapInArrow function that calls ``solve`` with all rows of each key; rows come sorted by key."""
+
+    def run(batches):
+        rest: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = batch.column(key).to_numpy(zero_copy_only=False)
+            if not len(keys):
+                continue
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for at, end in zip(cuts, cuts[1:]):
+                if rest and keys[at] != last:
+                    yield solve(pa.Table.from_batches(rest))
+                    rest = []
+                rest.append(batch.slice(at, end - at))
+                last = keys[at]
+        if rest:
+            yield solve(pa.Table.from_batches(rest))
+
+    return run

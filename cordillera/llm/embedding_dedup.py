@@ -14,7 +14,8 @@ the links themselves.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing
 and keep themselves, and so do vectors whose length is not the most common one.
-Other columns are ignored; an empty table gives an empty result.
+Rows without an id are left out. Other columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled
+from .common import grouped, settled
 from .components import Forest, components
 
 #: Vectors in one interval of the order, about; a task holds two intervals.
@@ -39,7 +40,7 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     """id and v (array of doubles) of the vectors that can link, all of one length."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    rows = rows.where(F.col("v").isNotNull() & (F.size("v") > 0)).where(finite)
+    rows = rows.where("id is not null").where(F.col("v").isNotNull() & (F.size("v") > 0)).where(finite)
     common = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()  # one row
     return rows.where(F.size("v") == (common[0]["d"] if common else 0))
 
@@ -128,8 +129,10 @@ def _links(axes: np.ndarray, least: float):
     """Of each pair of intervals (rows come sorted by pair): links by vector, and a spanning forest."""
 
     def solve(table: pa.Table) -> pa.RecordBatch:
-        ids, n, side = (table.column(c).to_numpy() for c in ("id", "n", "side"))
-        x = unit(_matrix(table.column("v").combine_chunks()))
+        parts = [[np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in (("ids", np.int64), ("counts", np.int64), ("vectors", np.float64))]
+        side = np.repeat(table.column("side").to_numpy(), [len(x) for x in parts[0]])
+        ids, n, values = (np.concatenate(x) for x in parts)
+        x = unit(values.reshape(len(ids), -1))
         turned = x @ axes
         left, right = np.flatnonzero(side <= 0), np.flatnonzero(side > 0)
         cells = np.floor(turned[:, :GRID_AXES] / np.sqrt(max(1e-12, 2 - 2 * least)))
@@ -152,22 +155,7 @@ def _links(axes: np.ndarray, least: float):
         columns = [np.r_[ids[some], members].astype(np.int64), np.r_[np.full(len(some), -1), roots].astype(np.int64), np.r_[links[some], np.zeros(len(members))].astype(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "links"])
 
-    def run(batches):
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]) if rest is not None and rest.num_rows else table
-            if not table.num_rows:
-                continue
-            pair = table.column("pair").to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(pair[1:] != pair[:-1]) + 1).tolist()]
-            for at, end in zip(cuts, cuts[1:]):
-                yield solve(table.slice(at, end - at))
-            rest = table.slice(cuts[-1])
-        if rest is not None and rest.num_rows:
-            yield solve(rest)
-
-    return run
+    return grouped("pair", solve)
 
 
 def embedding_links(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", interval: int = INTERVAL) -> DataFrame:
@@ -192,24 +180,29 @@ def embedding_links(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
                 yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("n"), batch.column("v"), pa.array(key)], ["id", "n", "v", "cell"])
 
     cells = classes.mapInArrow(ordered, "id long, n long, v array<double>, cell long")
-    placed = settled(cells.repartitionByRange(blocks, "cell", "id").select("id", "n", "v", F.spark_partition_id().alias("block")))
 
-    def boxes(batches):
-        bounds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            turned = unit(_matrix(batch.column("v"))) @ axes if batch.num_rows else None
-            block = batch.column("block").to_numpy()
-            for k in np.unique(block).tolist():
-                own = turned[block == k]
-                low, high = bounds.get(k, (own[0], own[0]))
-                bounds[k] = np.minimum(low, own.min(0)), np.maximum(high, own.max(0))
-        for k, (low, high) in bounds.items():
-            span = range(int(np.floor(low[0] / epsilon)), int(np.floor(high[0] / epsilon)) + 1)
-            columns = [pa.array([k], pa.int32()), pa.array([low.tolist()]), pa.array([high.tolist()]), pa.array([list(span)], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "low", "high", "cells"])
-
-    # A block is one partition of the range, so each has one box.
-    box = settled(placed.mapInArrow(boxes, "block int, low array<double>, high array<double>, cells array<long>"))
+    def packed(batches):
+        """One row for each partition of the order: its box, and its vectors in one piece."""
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        table = pa.Table.from_batches(parts).combine_chunks()
+        values = _matrix(table.column("v").combine_chunks())
+        turned = unit(values) @ axes
+        columns = [pa.array([table.column("part")[0].as_py()], pa.int32()), pa.array([turned.min(0).tolist()]), pa.array([turned.max(0).tolist()])]
+        columns += [pa.array([x.tobytes()], pa.binary()) for x in (table.column("id").to_numpy(), table.column("n").to_numpy(), values)]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "low", "high", "ids", "counts", "vectors"])
+
+    ranged = cells.repartitionByRange(blocks, "cell", "id").select("id", "n", "v", F.spark_partition_id().alias("part"))
+    placed = settled(ranged.mapInArrow(packed, "part int, low array<double>, high array<double>, ids binary, counts binary, vectors binary"))
+    # Spark may cut the order into more parts than asked for: neighbours make up one interval.
+    parts = (placed.agg(F.max("part")).first()[0] or 0) + 1
+    placed = placed.withColumn("block", F.floor(F.col("part") * min(blocks, parts) / parts).cast("int"))
+    fold = lambda c, f: F.aggregate(F.slice(c, 2, 1_000_000), F.element_at(c, 1), lambda x, y: F.zip_with(x, y, f))
+    box = placed.groupBy("block").agg(F.collect_list("low").alias("l"), F.collect_list("high").alias("h"))
+    box = box.select("block", fold(F.col("l"), lambda x, y: F.least(x, y)).alias("low"), fold(F.col("h"), lambda x, y: F.greatest(x, y)).alias("high"))
+    cell_of = lambda c: F.floor(F.element_at(c, 1) / epsilon)
+    box = settled(box.withColumn("cells", F.sequence(cell_of(F.col("low")), cell_of(F.col("high")))))
     one = box.select(F.col("block").alias("p"), F.col("low").alias("low_p"), F.col("high").alias("high_p"), F.explode("cells").alias("cell"))
     near = F.flatten(F.transform("cells", lambda c: F.array(c - 1, c, c + 1)))
     two = box.select(F.col("block").alias("q"), F.col("low").alias("low_q"), F.col("high").alias("high_q"), F.explode(F.array_distinct(near)).alias("cell"))
@@ -219,13 +212,13 @@ def embedding_links(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     pair = F.concat_ws("-", "p", "q").alias("pair")
     sides = pairs.select(pair, F.col("p").alias("block"), F.when(F.col("p") == F.col("q"), -1).otherwise(0).alias("side"))
     sides = sides.unionByName(pairs.where("p < q").select(pair, F.col("q").alias("block"), F.lit(1).alias("side")))
-    dealt = placed.join(sides, "block").select("pair", "side", "id", "n", "v")
+    dealt = placed.join(sides, "block").select("pair", "side", "ids", "counts", "vectors")
     found = settled(dealt.repartition("pair").sortWithinPartitions("pair").mapInArrow(_links(axes, least), "a long, b long, links long"))
     links = found.where("b = -1").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b >= 0").select("a", "b")).select(F.col("node").alias("rep"), "component")
     whole = classes.select("v", "rep", "n").join(links, "rep", "left").join(roots, "rep", "left")
     whole = whole.select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "rep").alias("component"))
     members = rows.join(whole, "v").select("id", "links", "component")
-    every = vectors.select(F.col(id_col).cast("long").alias("id")).join(members, "id", "left")
+    every = vectors.select(F.col(id_col).cast("long").alias("id")).where("id is not null").join(members, "id", "left")
     component = F.coalesce("component", "id")
     return every.select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).alias("n_links"), component.alias("component_id"), (component == F.col("id")).alias("kept"))

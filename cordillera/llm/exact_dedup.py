@@ -8,7 +8,8 @@ for; the runs that touch a partition's first or last row are then joined by full
 text, at most two for each partition.
 
 Nulls count as the empty text, and all empty texts are one group.  Ties do not
-occur: ids decide, and rows that repeat an id are members like any other.  Columns
+occur: ids decide, and rows that repeat an id are members like any other.  Rows without
+an id are left out of the groups, and ``exact_dedup`` keeps them.  Columns
 other than the id and text columns are ignored, whatever their names.  An empty
 table gives an empty result.
 """
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, settled
+from .common import partitions, settled, without
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Characters of a text that the splitters carry; the rest is a 64-bit hash.
@@ -78,7 +79,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    keyed = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    keyed = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).where("id is not null")
     keyed = keyed.select("id", "text", F.substring("text", 1, SPLITTER_CHARS).alias("head"), F.xxhash64("text").alias("hash"))
     ranged = keyed.repartitionByRange(partitions(spark), "head", "hash", "id")
     ordered = ranged.sortWithinPartitions("head", "hash", "text", "id").select("id", "text", F.spark_partition_id().alias("part"))
@@ -101,5 +102,4 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
     """The documents that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col, keep).where("kept").select(F.col(id_col).alias("__kept_id"))
-    return docs.join(kept, docs[id_col] == kept["__kept_id"], "left_semi")
+    return without(docs, exact_groups(docs, id_col, text_col, keep).where("not kept"), id_col)

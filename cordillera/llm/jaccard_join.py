@@ -22,12 +22,13 @@ d <= e between linked documents their distances to any pivot differ by e at most
 Nothing is sampled or capped.  Shingles are 64-bit hashes of their words.  Null texts
 and texts without words have no shingles, link with nothing and are their own
 component; a text with fewer words than a shingle is one shingle.  Repeated rows are
-equal sets.  Other columns are ignored, and an empty table gives an empty result.
+equal sets.  Rows without an id are left out, and ``keep_one_of_each`` keeps them.
+Other columns are ignored, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .bpe import spread
-from .common import partitions, settled
+from .common import BROADCAST_IDS, grouped, partitions, settled, sized, without
 from .components import Forest, components
 from .words import mix, slices, spans_hash, words_of
 
@@ -48,8 +49,6 @@ COMMON = 10
 SLICE = 300_000
 #: Members of a region, or of a block of one, that a task compares at once.
 BLOCK = 256
-#: Documents up to which ids are broadcast to pick texts; more are joined by a shuffle.
-BROADCAST_IDS = 500_000
 
 SLICES = "slice string, ids array<long>, sizes array<int>, sums array<long>, marks array<long>, lengths array<int>, prefix binary"
 
@@ -148,29 +147,6 @@ def _to_buckets(buckets: int):
     return run
 
 
-def grouped(key: str, solve: Callable[[pa.Table], Iterator[pa.RecordBatch] | pa.RecordBatch]):
-    """A mapInArrow function that calls ``solve`` with all rows of each key; rows come sorted by key."""
-
-    def run(batches):
-        rest: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            keys = batch.column(key).to_numpy(zero_copy_only=False)
-            if not len(keys):
-                continue
-            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-            for at, end in zip(cuts, cuts[1:]):
-                if rest and keys[at] != last:
-                    yield solve(pa.Table.from_batches(rest))
-                    rest = []
-                rest.append(batch.slice(at, end - at))
-                last = keys[at]
-        if rest:
-            yield solve(pa.Table.from_batches(rest))
-
-    return run
-
-
 def _shared(table: pa.Table) -> pa.RecordBatch:
     """Of one bucket: for each slice its keys that two documents or more have."""
     parts = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("keys")]
@@ -284,11 +260,6 @@ def _distance(batches):
         yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("id"), *columns], ["pivot", "id", "common", "total"])
 
 
-def _members(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
-    """The texts of some documents: by broadcast if their ids are few, else by a join on the id."""
-    return docs.join(F.broadcast(ids) if ids.count() <= most else ids, "id", "left_semi")
-
-
 def jaccard_links(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK, broadcast_ids: int = BROADCAST_IDS
 ) -> tuple[DataFrame, DataFrame]:
@@ -296,7 +267,7 @@ def jaccard_links(
     representatives: a spanning forest of the verified links, from which the components follow.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     cut = settled(texts.mapInArrow(_prefixes(width, percent), SLICES))
     fields = F.explode(F.arrays_zip("ids", "sizes", "sums", "marks")).alias("x")
     every = cut.select(fields).select(F.col("x.ids").alias("id"), F.col("x.sizes").alias("size"), F.col("x.sums").alias("s"), F.col("x.marks").alias("m"))
@@ -322,7 +293,7 @@ def jaccard_links(
     sizes = regions.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     regions = settled(regions.join(sizes, "pivot").select("pivot", "id", "n"))
     wanted = regions.select("id").unionByName(regions.where(F.col("n") > block).select(F.col("pivot").alias("id"))).distinct()
-    sets = settled(_members(texts, wanted, broadcast_ids).mapInArrow(_sets(width), "id long, hashes binary"))
+    sets = settled(texts.join(sized(wanted, broadcast_ids), "id", "left_semi").mapInArrow(_sets(width), "id long, hashes binary"))
 
     small = regions.where(F.col("n") <= block).join(sets, "id").select("pivot", "id", "hashes")
     links = small.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(grouped("pivot", _compare(percent)), "a long, b long")
@@ -361,5 +332,4 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The document with the least id of each component, with all its columns."""
-    kept = jaccard_components(docs, id_col, text_col).where(F.col("component_id") == F.col(id_col)).select(F.col(id_col).alias("__kept_id"))
-    return docs.join(kept, docs[id_col] == kept["__kept_id"], "left_semi")
+    return without(docs, jaccard_components(docs, id_col, text_col).where(F.col("component_id") != F.col(id_col)), id_col)

@@ -9,7 +9,8 @@ merged and removed.  Windows are judged on the input.
 Documents of fewer than three lines have no windows and keep all lines.  Null texts
 have no lines; an empty text is one empty line.  Other columns are passed through by
 ``line_dedup`` and ignored by ``line_report``; an empty table gives an empty result.
-Document ids are expected to be unique.
+Document ids are expected to be unique; rows without an id keep all lines and count
+for no other row.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ def _lines(text: Column) -> Column:
 
 def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """id and places (of first lines) of the windows that occurred before, one row per document that has any."""
-    lines = docs.select(F.col(id_col).cast("long").alias("id"), _lines(F.col(text_col)).alias("lines")).where(F.size("lines") >= width)
+    lines = docs.select(F.col(id_col).cast("long").alias("id"), _lines(F.col(text_col)).alias("lines"))
+    lines = lines.where("id is not null").where(F.size("lines") >= width)
     digest = F.transform(
         F.sequence(F.lit(1), F.size("lines") - width + 1),
         lambda i: F.substring(F.unhex(F.sha2(F.array_join(F.slice("lines", i, width), "\n"), 256)), 1, 16),

@@ -12,7 +12,7 @@ that differs from the announced one are errors.  The chunked framing of the join
 block is then decoded.
 
 Null payloads count as empty, in records of their own; rows with equal payloads are
-tied by id.  Rows must not repeat an id.  Columns other than those asked for are
+tied by id.  Rows must not repeat an id, and those without one are left out.  Columns other than those asked for are
 ignored, null URLs become ``about:blank``, and an empty table gives an empty archive
 and no rows.
 """
@@ -119,6 +119,7 @@ def write_warc(
     """Write pages as WARC 1.1 files in the folder ``path``, in any store that Spark writes to."""
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"").cast("binary"))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col), F.lit("about:blank")).alias("url"), payload.alias("payload"))
+    rows = rows.where("id is not null")
     rows = rows.join(roles(rows, min_revisit_bytes), "id", "left")
 
     def frame(batches):
