@@ -29,6 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import frugal
+
 #: Unicode White_Space, for use in a character class; \s of ``regex`` also takes U+001C-U+001F.
 SPACE = r"\t-\r \x85\xa0  -     　"
 #: The two pre-tokenisers' patterns, with White_Space spelt out for \s.
@@ -300,7 +302,7 @@ def tokenizer_path(name: str, folder: str | None = None) -> str:
 
 
 #: Texts of about so many bytes are encoded at once.
-BATCH_BYTES = 24_000_000
+BATCH_BYTES = 8_000_000
 
 
 def encoded(batches: Iterator[pa.RecordBatch], coder: Codec, text_col: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -324,7 +326,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run), "id long, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def bpe_decode(rows: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids", folder: str | None = None) -> DataFrame:
@@ -337,7 +339,7 @@ def bpe_decode(rows: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())], ["id", "text"])
 
     rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(ids_col).alias("ids"))
-    return rows.mapInArrow(run, "id long, text string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run), "id long, text string").withColumnRenamed("id", id_col)
 
 
 def bpe_round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
@@ -359,4 +361,4 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())], names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled
+from .common import frugal, settled
 
 MAX_ROUNDS = 60
 
@@ -59,7 +59,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has long columns a and b, in any order and with any repeats or loops.
     """
-    found = settled(edges.select("a", "b").mapInArrow(_contract, "a long, b long").distinct())
+    found = settled(edges.select("a", "b").mapInArrow(frugal(_contract), "a long, b long").distinct())
     seen = None
     for _ in range(MAX_ROUNDS):
         both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))

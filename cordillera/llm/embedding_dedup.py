@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped, settled
+from .common import frugal, grouped, settled
 from .components import Forest, components
 
 #: Vectors in one interval of the order, about; a task holds two intervals.
@@ -73,7 +73,7 @@ def principal_axes(rows: DataFrame) -> np.ndarray:
             i, j = np.indices(total.shape)
             yield pa.RecordBatch.from_arrays([pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())], ["i", "j", "x"])
 
-    cells = rows.select("v").mapInArrow(moments, "i long, j long, x double").groupBy("i", "j").agg(F.sum("x").alias("x")).collect()
+    cells = rows.select("v").mapInArrow(frugal(moments), "i long, j long, x double").groupBy("i", "j").agg(F.sum("x").alias("x")).collect()
     if not cells:
         return np.eye(1)
     d = max(r["j"] for r in cells) + 1
@@ -179,7 +179,7 @@ def embedding_links(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
                     key = key << 10 | np.clip(cells[:, k] + 512, 0, 1023)
                 yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("n"), batch.column("v"), pa.array(key)], ["id", "n", "v", "cell"])
 
-    cells = classes.mapInArrow(ordered, "id long, n long, v array<double>, cell long")
+    cells = classes.mapInArrow(frugal(ordered), "id long, n long, v array<double>, cell long")
 
     def packed(batches):
         """One row for each partition of the order: its box, and its vectors in one piece."""
@@ -194,7 +194,7 @@ def embedding_links(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
         yield pa.RecordBatch.from_arrays(columns, ["part", "low", "high", "ids", "counts", "vectors"])
 
     ranged = cells.repartitionByRange(blocks, "cell", "id").select("id", "n", "v", F.spark_partition_id().alias("part"))
-    placed = settled(ranged.mapInArrow(packed, "part int, low array<double>, high array<double>, ids binary, counts binary, vectors binary"))
+    placed = settled(ranged.mapInArrow(frugal(packed), "part int, low array<double>, high array<double>, ids binary, counts binary, vectors binary"))
     # Spark may cut the order into more parts than asked for: neighbours make up one interval.
     parts = (placed.agg(F.max("part")).first()[0] or 0) + 1
     placed = placed.withColumn("block", F.floor(F.col("part") * min(blocks, parts) / parts).cast("int"))
@@ -213,7 +213,7 @@ def embedding_links(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     sides = pairs.select(pair, F.col("p").alias("block"), F.when(F.col("p") == F.col("q"), -1).otherwise(0).alias("side"))
     sides = sides.unionByName(pairs.where("p < q").select(pair, F.col("q").alias("block"), F.lit(1).alias("side")))
     dealt = placed.join(sides, "block").select("pair", "side", "ids", "counts", "vectors")
-    found = settled(dealt.repartition("pair").sortWithinPartitions("pair").mapInArrow(_links(axes, least), "a long, b long, links long"))
+    found = settled(dealt.repartition("pair").sortWithinPartitions("pair").mapInArrow(frugal(_links(axes, least)), "a long, b long, links long"))
     links = found.where("b = -1").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b >= 0").select("a", "b")).select(F.col("node").alias("rep"), "component")
     whole = classes.select("v", "rep", "n").join(links, "rep", "left").join(roots, "rep", "left")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, settled, without
+from .common import frugal, partitions, settled, without
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Characters of a text that the splitters carry; the rest is a 64-bit hash.
@@ -83,7 +83,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = keyed.select("id", "text", F.substring("text", 1, SPLITTER_CHARS).alias("head"), F.xxhash64("text").alias("hash"))
     ranged = keyed.repartitionByRange(partitions(spark), "head", "hash", "id")
     ordered = ranged.sortWithinPartitions("head", "hash", "text", "id").select("id", "text", F.spark_partition_id().alias("part"))
-    runs = settled(ordered.mapInArrow(_runs, RUNS))
+    runs = settled(ordered.mapInArrow(frugal(_runs), RUNS))
     # At most two edge runs for each partition: their number is bounded by the partitions'.
     edges = runs.where("edge_text is not null").groupBy("edge_text").agg(
         F.min("low").alias("g_low"), F.max("high").alias("g_high"), F.sum("size").alias("g_size"), F.collect_list(F.struct("part", "run")).alias("at")

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .bpe import spread
-from .common import BROADCAST_IDS, grouped, partitions, settled, sized, without
+from .common import BROADCAST_IDS, frugal, grouped, partitions, settled, sized, without
 from .components import Forest, components
 from .words import mix, slices, spans_hash, words_of
 
@@ -268,18 +268,18 @@ def jaccard_links(
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    cut = settled(texts.mapInArrow(_prefixes(width, percent), SLICES))
+    cut = settled(texts.mapInArrow(frugal(_prefixes(width, percent)), SLICES))
     fields = F.explode(F.arrays_zip("ids", "sizes", "sums", "marks")).alias("x")
     every = cut.select(fields).select(F.col("x.ids").alias("id"), F.col("x.sizes").alias("size"), F.col("x.sums").alias("s"), F.col("x.marks").alias("m"))
     classes = every.where("size > 0").groupBy("size", "s", "m").agg(F.min("id").alias("rep"))
     members = every.join(classes, ["size", "s", "m"], "left").select("id", "size", F.coalesce("rep", "id").alias("rep"))
 
     buckets = 4 * partitions(spark)
-    dealt = cut.select("slice", "prefix").mapInArrow(_to_buckets(buckets), "bucket int, slice string, keys binary, twice binary")
-    shared = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(grouped("bucket", _shared), "slice string, shared binary")
+    dealt = cut.select("slice", "prefix").mapInArrow(frugal(_to_buckets(buckets)), "bucket int, slice string, keys binary, twice binary")
+    shared = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frugal(grouped("bucket", _shared)), "slice string, shared binary")
     lists = shared.groupBy("slice").agg(F.collect_list("shared").alias("shared"))
     some = cut.select("slice", "ids", "sizes", "lengths", "prefix").join(lists, "slice")
-    found = some.mapInArrow(_survivors(percent, buckets), "id long, size int, shared array<long>")
+    found = some.mapInArrow(frugal(_survivors(percent, buckets)), "id long, size int, shared array<long>")
     hashes = settled(found.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "size", F.explode("shared").alias("hash")))
 
     # Pivots by hash; regions by pivot.
@@ -293,10 +293,10 @@ def jaccard_links(
     sizes = regions.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     regions = settled(regions.join(sizes, "pivot").select("pivot", "id", "n"))
     wanted = regions.select("id").unionByName(regions.where(F.col("n") > block).select(F.col("pivot").alias("id"))).distinct()
-    sets = settled(texts.join(sized(wanted, broadcast_ids), "id", "left_semi").mapInArrow(_sets(width), "id long, hashes binary"))
+    sets = settled(texts.join(sized(wanted, broadcast_ids), "id", "left_semi").mapInArrow(frugal(_sets(width)), "id long, hashes binary"))
 
     small = regions.where(F.col("n") <= block).join(sets, "id").select("pivot", "id", "hashes")
-    links = small.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(grouped("pivot", _compare(percent)), "a long, b long")
+    links = small.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(frugal(grouped("pivot", _compare(percent))), "a long, b long")
     return members, links.unionByName(_large(regions.where(F.col("n") > block), sets, percent, block))
 
 
@@ -304,7 +304,7 @@ def _large(regions: DataFrame, sets: DataFrame, percent: int, block: int) -> Dat
     """Links in regions of more than ``block`` members."""
     pivot_sets = sets.select(F.col("id").alias("pivot"), F.col("hashes").alias("pivot_hashes"))
     own = regions.join(sets, "id").select("pivot", "id", "hashes")
-    far = settled(own.join(pivot_sets, "pivot").mapInArrow(_distance, "pivot long, id long, common long, total long"))
+    far = settled(own.join(pivot_sets, "pivot").mapInArrow(frugal(_distance), "pivot long, id long, common long, total long"))
     near = far.where((100 * F.col("common") >= percent * F.col("total")) & (F.col("id") != F.col("pivot"))).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     # Rings half of e wide: linked members are two rings apart at most; rings 0 and 1 are within e.
     ring = F.floor((1 - F.col("common") / F.col("total")) * 200.0 / (100 - percent) + 1e-9).cast("int")
@@ -318,7 +318,7 @@ def _large(regions: DataFrame, sets: DataFrame, percent: int, block: int) -> Dat
     sides = pairs.select(name, "pivot", F.col("ring_p").alias("ring"), F.col("part_p").alias("part"))
     sides = sides.unionByName(pairs.where("ring_p <> ring_q or part_p <> part_q").select(name, "pivot", F.col("ring_q").alias("ring"), F.col("part_q").alias("part")))
     dealt = placed.join(sides, ["pivot", "ring", "part"]).select("pair", "id").join(sets, "id")
-    links = dealt.repartition("pair").sortWithinPartitions("pair").mapInArrow(grouped("pair", _compare(percent)), "a long, b long")
+    links = dealt.repartition("pair").sortWithinPartitions("pair").mapInArrow(frugal(grouped("pair", _compare(percent))), "a long, b long")
     return near.unionByName(links)
 
 

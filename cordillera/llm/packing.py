@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .bpe import codec, encoded, tokenizer_path
-from .common import settled
+from .common import frugal, settled
 
 PIECES = "id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 #: A pattern (its lengths, descending) and how many sequences have it.
@@ -165,7 +165,7 @@ def cut(docs: DataFrame, capacity: int, vocabulary: str, separator: int, id_col:
             kinds = [{"long": pa.int64(), "int": pa.int32()}[x.split()[1]] for x in PIECES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(frugal(run), PIECES)
 
 
 def pack_documents(
@@ -201,4 +201,4 @@ def pack_documents(
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence), pa.array(offset)], ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     schema = "id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return ranked.mapInArrow(place, schema).withColumnRenamed("id", id_col)
+    return ranked.mapInArrow(frugal(place), schema).withColumnRenamed("id", id_col)

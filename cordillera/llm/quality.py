@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
 from .toxicity import batches_of, held_out, labelled_sample
 
 #: Labelled rows that the classifier may see, and how many of either class at most.
@@ -32,7 +33,7 @@ NEIGHBOURS = 15
 #: Similarities below it do not vote.
 LEAST_SIMILARITY = 0.05
 BLOCK = 512
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 #: Shape n-grams and how many terms they may become; then word repetition and words.
 SHAPE_ORDERS = (1, 2, 3)
 
@@ -137,17 +138,22 @@ def fit(sample: list[tuple[str, int]]) -> Space:
     if not len(sample):
         return Space(np.zeros((TERMS, 1)), np.zeros((0, 1)), labels)
     texts = [t for t, _ in sample]
-    x = np.concatenate([Space.weigh(term_counts(part[i : i + BLOCK])) for _, part in batches_of(texts, BATCH_CHARS) for i in range(0, len(part), BLOCK)])
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 0.3
-    weighted = x * idf
-    rank = min(DIMENSIONS, len(x))
-    basis = np.random.default_rng(7).standard_normal((len(x), min(len(x), rank + 16)))
+    weighted = np.empty((len(texts), TERMS), np.float32)
+    for at, part in batches_of(texts, BATCH_CHARS):
+        for i in range(0, len(part), BLOCK):
+            weighted[at + i : at + min(len(part), i + BLOCK)] = Space.weigh(term_counts(part[i : i + BLOCK]))
+    idf = np.log((1 + len(texts)) / (1 + (weighted > 0).sum(0))) + 0.3
+    weighted *= idf.astype(np.float32)
+    rank = min(DIMENSIONS, len(texts))
+    basis = np.random.default_rng(7).standard_normal((len(texts), min(len(texts), rank + 16))).astype(np.float32)
     for _ in range(4):  # subspace iteration
         basis, _ = np.linalg.qr(weighted @ (weighted.T @ basis))
     _, _, right = np.linalg.svd(basis.T @ weighted, full_matrices=False)
     space = Space(idf[:, None] * right[:rank].T, np.zeros((0, rank)), labels)
     found = weighted @ right[:rank].T
-    space.vectors = found / np.maximum(1e-12, np.linalg.norm(found, axis=1, keepdims=True))
+    space.vectors = (found / np.maximum(1e-12, np.linalg.norm(found, axis=1, keepdims=True))).astype(float)
+    space.projection = space.projection.astype(float)
+    tidy()
     return space
 
 
@@ -166,7 +172,10 @@ def scorer(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(space.score([t or "" for t in texts]))
+        try:
+            return pd.Series(space.score([t or "" for t in texts]))
+        finally:
+            tidy()
 
     return score
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import spread
-from .common import settled
+from .common import frugal, settled
 from .words import mix, slices, spans_hash, words_of
 
 WINDOW = 50
@@ -241,21 +241,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Spans of words [begin, stop) that repeated windows cover: id, begin, stop; a document's spans may overlap."""
     # The same rows are shuffled by id here and in _with_spans: Spark does it once.
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    runs = settled(texts.mapInArrow(_occurrences(window, seed), "mini long, id long, first int, n int"))
+    runs = settled(texts.mapInArrow(frugal(_occurrences(window, seed)), "mini long, id long, first int, n int"))
     counted = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("low"), F.max("id").alias("high"))
     shared = settled(runs.join(counted.where("low < high").select("mini", "c"), "mini"))
     listed = lambda rows: rows.groupBy("id").agg(F.collect_list(F.struct("mini", "first", "n")).alias("runs"))
     cool = texts.join(listed(shared.where(F.col("c") <= hot)), "id").select("id", "text", "runs")
-    cool = cool.mapInArrow(_packed(window), "mini long, id long, first int, packed binary")
-    spans = cool.repartition("mini").sortWithinPartitions("mini").mapInArrow(_bucket(window), "id long, begin long, stop long")
+    cool = cool.mapInArrow(frugal(_packed(window)), "mini long, id long, first int, packed binary")
+    spans = cool.repartition("mini").sortWithinPartitions("mini").mapInArrow(frugal(_bucket(window)), "id long, begin long, stop long")
     warm = settled(listed(shared.where(F.col("c") > hot)))
     warm = F.broadcast(warm) if warm.count() <= BROADCAST_DOCS else warm
-    held = settled(texts.join(warm, "id").select("id", "text", "runs").mapInArrow(_hot_slices(window), HOT_SLICES))
+    held = settled(texts.join(warm, "id").select("id", "text", "runs").mapInArrow(frugal(_hot_slices(window)), HOT_SLICES))
     each = held.select("slice", F.posexplode(F.arrays_zip("digests", "low", "high")).alias("at", "x")).select("slice", "at", "x.digests", "x.low", "x.high")
     least = each.groupBy("digests").agg(F.min("low").alias("low"), F.max("high").alias("top")).where("low < top").select("digests", "low")
     back = each.select("slice", "at", "digests").join(least, "digests").groupBy("slice").agg(F.collect_list(F.struct("at", "low")).alias("lows"))
     again = held.select("slice", "ids", "first", "code", F.size("digests").alias("size")).join(back, "slice")
-    return spans.unionByName(again.mapInArrow(_hot_spans(window), "id long, begin long, stop long"))
+    return spans.unionByName(again.mapInArrow(frugal(_hot_spans(window)), "id long, begin long, stop long"))
 
 
 def _kept(row_words: list[bytes], spans: list) -> list[bytes]:
@@ -290,7 +290,7 @@ def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield pa.RecordBatch.from_arrays(columns, ["id", "n_words", "n_removed", "kept_sha256"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return _with_spans(rows, "id", "text", window, seed, hot).mapInArrow(run, "id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("id", id_col)
+    return _with_spans(rows, "id", "text", window, seed, hot).mapInArrow(frugal(run), "id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("id", id_col)
 
 
 def substring_dedup(

@@ -19,16 +19,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import frugal, tidy
+
 #: Labelled rows of each class that the model may see.
 MAX_TRAIN = 3_000
 ORDERS = (3, 4, 5)
 HASH_BITS = 20
 #: Chi-square that an n-gram's frequencies in the two classes must reach.
-MIN_CHI2 = 40.0
-MAX_FEATURES = 600
-RIDGE = 1.0
+MIN_CHI2 = 10.0
+MAX_FEATURES = 1_500
+RIDGE = 5.0
 #: Characters that are turned into n-grams at once.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
 
@@ -124,7 +126,7 @@ def fit(sample: list[tuple[str, int]], share: float | None = None) -> Model:
     size = 1 << HASH_BITS
     texts = [t for t, _ in sample]
     p, q = np.zeros(size), np.zeros(size)
-    for at, part in batches_of(texts, BATCH_CHARS // 4):
+    for at, part in batches_of(texts, BATCH_CHARS // 2):
         rows, columns = presence(part)
         toxic = y[at + rows] == 1
         p += np.bincount(columns[toxic], minlength=size)
@@ -152,6 +154,7 @@ def fit(sample: list[tuple[str, int]], share: float | None = None) -> Model:
         w -= step
         if np.abs(step).max() < 1e-4:
             break
+    tidy()
     return Model(chosen, w[:-1] * ratio, float(w[-1]))
 
 
@@ -168,5 +171,5 @@ def score_toxicity(
             scores = model.score([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64())], ["id", "score"])
 
-    scored = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, score double")
+    scored = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(frugal(run), "id long, score double")
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import remove, settled, shared_path
+from .common import frugal, remove, settled, shared_path
 
 END = b"\r\n\r\n"
 #: Blocks longer than this are cut into segments.
@@ -132,7 +132,7 @@ def write_warc(
                     out = []
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    framed = rows.mapInArrow(frame, "value binary").select(F.col("value").cast("string").alias("value"))
+    framed = rows.mapInArrow(frugal(frame), "value binary").select(F.col("value").cast("string").alias("value"))
     framed.write.option("lineSep", END.decode()).option("maxRecordsPerFile", FILE_RECORDS).option("compression", compression).text(path)
 
 
@@ -190,7 +190,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in RECORD.split(", ")])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("content").mapInArrow(run, RECORD)
+    return files.select("content").mapInArrow(frugal(run), RECORD)
 
 
 def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +224,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     cut = found.where("segment is not null").groupBy("origin").agg(F.collect_list(part).alias("parts"))
     whole = found.where("segment is null").select("origin", F.array(part).alias("parts"))
     schema = "id long, kind string, uri string, refers_to long, digest string, payload binary"
-    return whole.unionByName(cut).mapInArrow(_reassemble, schema)
+    return whole.unionByName(cut).mapInArrow(frugal(_reassemble), schema)
 
 
 def warc_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_revisit_bytes: int = 0) -> DataFrame:
