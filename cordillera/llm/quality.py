@@ -32,6 +32,8 @@ TERMS = 4_096
 NEIGHBOURS = 15
 #: Similarities below it do not vote.
 LEAST_SIMILARITY = 0.05
+#: Steps of similarity between 0 and 1.
+STEPS = 1_000_000
 BLOCK = 512
 BATCH_CHARS = 1_000_000
 #: Shape n-grams and how many terms they may become; then word repetition and words.
@@ -119,13 +121,16 @@ class Space:
     def score(self, texts: list[str]) -> np.ndarray:
         if not len(self.labels):
             return np.zeros(len(texts))
-        vectors = self.embed(texts).astype(np.float32)
+        vectors = self.embed(texts)
         out = np.empty(len(texts))
-        near = min(NEIGHBOURS, len(self.labels))
+        known = len(self.labels)
+        near = min(NEIGHBOURS, known)
+        last = np.arange(known - 1, -1, -1)
         for i in range(0, len(texts), BLOCK):
-            cosine = vectors[i : i + BLOCK] @ self.vectors.T.astype(np.float32)
-            top = np.argpartition(-cosine, near - 1, axis=1)[:, :near]
-            weight = np.take_along_axis(cosine, top, 1).astype(float)
+            # Equal texts get equal scores: similarities count in steps, and ties go by number.
+            steps = np.rint(vectors[i : i + BLOCK] @ self.vectors.T * STEPS).astype(np.int64) * known + last
+            top = np.argpartition(-steps, near - 1, axis=1)[:, :near]
+            weight = np.take_along_axis(steps, top, 1) // known / STEPS
             weight = np.where(weight >= LEAST_SIMILARITY, weight, 0)
             total = weight.sum(1)
             votes = (weight * self.labels[top]).sum(1)
