@@ -47,3 +47,9 @@ def test_entry_points(spark):
     assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).columns == ["type", "records", "members"]
+
+
+def test_every_order_is_linked_or_an_entity(spark, duck):
+    ids = {r[0].split("|")[0] for r in QUERIES["enrich_all_and_standalone"](spark, SF).select("id").collect()}
+    ids |= {r[0].split("|")[0] for r in QUERIES["link_all_products"](spark, SF).select("product_id").collect()}
+    assert ids == {str(k) for (k,) in duck.execute("SELECT DISTINCT l_orderkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey").fetchall()}
