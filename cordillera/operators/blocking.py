@@ -29,8 +29,8 @@ def token_pair_keys(tokens: Column, longest: int = 3) -> Column:
 def block_pairs(rows: DataFrame, id_col: str, keys: Column, most: int) -> DataFrame:
     """Distinct pairs left < right that share a key whose block has ``most`` members or fewer.
 
-    The block bound is the operator's contract: larger blocks are reported by
-    ``oversized_blocks``. Sizes are summed before any pair is made.
+    The block bound is the operator's contract: larger blocks make no pairs here, and
+    ``block_pairs_or_members`` returns them too. Sizes are summed before any pair is made.
     """
     exploded = rows.select(F.col(id_col).alias("id"), F.explode(keys).alias("k")).distinct()
     good = exploded.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(2, most)).select("k")
@@ -39,6 +39,31 @@ def block_pairs(rows: DataFrame, id_col: str, keys: Column, most: int) -> DataFr
     return left.join(right, "k").where("left_id < right_id").select("left_id", "right_id").distinct()
 
 
+def title_keys(title: Column) -> Column:
+    """Keys of a normal title: all pairs among its three longest tokens of any length, and the whole title."""
+    words = F.filter(F.split(title, " "), lambda t: t != "")
+    pairs = F.transform(token_pair_keys(words), lambda k: F.concat(F.lit("p "), k))
+    return F.when(F.coalesce(title, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.array_append(pairs, F.concat(F.lit("t "), title)))
+
+
+def block_pairs_or_members(rows: DataFrame, id_col: str, keys: Column, most: int) -> DataFrame:
+    """Blocks without loss: pairs of blocks of ``most`` members or fewer, members of the larger ones.
+
+    kind is ``pair`` (left_id < right_id; block and size are null), or ``oversized``: one row
+    for each member (right_id) of a larger block, with the least member (left_id), the block's key
+    and its size.  Any two members of an oversized block are a candidate pair too, so nothing that
+    shares a key is left out, in rows that grow with the members and not with their square.
+    """
+    exploded = rows.select(F.col(id_col).alias("id"), F.explode(keys).alias("k")).distinct()
+    sizes = exploded.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).where("n > 1")
+    kept = exploded.join(sizes, "k")
+    few, many = kept.where(F.col("n") <= most), kept.where(F.col("n") > most)
+    left, right = few.select("k", F.col("id").alias("left_id")), few.select("k", F.col("id").alias("right_id"))
+    pairs = left.join(right, "k").where("left_id < right_id").select("left_id", "right_id").distinct()
+    pairs = pairs.select(F.lit("pair").alias("kind"), F.lit(None).cast("string").alias("block"), F.lit(None).cast("long").alias("size"), "left_id", "right_id")
+    return pairs.unionByName(many.select(F.lit("oversized").alias("kind"), F.col("k").alias("block"), F.col("n").alias("size"), F.col("least").alias("left_id"), F.col("id").alias("right_id")))
+
+
 def edit_pairs(values: DataFrame, value: str, block: Column, most: int) -> DataFrame:
     """Pairs of different values in one block whose edit distance is ``most`` or less."""
     keyed = values.select(F.col(value).alias("v"), block.alias("b")).distinct()

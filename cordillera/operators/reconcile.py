@@ -21,7 +21,9 @@ def similar_suffixes(left: Column, right: Column, most: int = 2) -> Column:
 
 
 def similar_pairs(values: DataFrame, prefix: str, suffix: str, block: Column, most: int = 100) -> DataFrame:
-    """Pairs of different suffixes under one prefix and block that look alike; blocks beyond ``most`` make none."""
+    """Pairs of different suffixes under one prefix and block that look alike; blocks beyond ``most`` make none
+    and are what ``oversized_groups`` returns.
+    """
     rows = values.select(prefix, suffix, block.alias("__b")).distinct()
     good = rows.groupBy(prefix, "__b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(2, most)).drop("n")
     kept = rows.join(good, [prefix, "__b"])
@@ -30,6 +32,13 @@ def similar_pairs(values: DataFrame, prefix: str, suffix: str, block: Column, mo
     return pairs.select(prefix, "left_suffix", "right_suffix", similar_suffixes(F.col("left_suffix"), F.col("right_suffix")).alias("how")).where("how is not null").distinct()
 
 
+def oversized_groups(values: DataFrame, prefix: str, suffix: str, block: Column, most: int = 100) -> DataFrame:
+    """The groups that ``similar_pairs`` makes no pairs of, one row for each suffix: prefix, block, size, suffix."""
+    rows = values.select(prefix, suffix, block.alias("block")).distinct()
+    large = rows.groupBy(prefix, "block").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > most)
+    return rows.join(large, [prefix, "block"]).select(prefix, "block", "size", suffix)
+
+
 def decisions(pairs: DataFrame, checks: DataFrame, left: str, right: str, key: str, status: str) -> DataFrame:
     """confirmed_correction if exactly one side is verified, pending while a side is unknown, else review."""
     a = checks.select(F.col(key).alias(left), F.col(status).alias("__a"))

@@ -88,10 +88,14 @@ _SUFFIX = """
                       WHEN levenshtein(l, r) <= 2 AND length(s) >= 8 THEN 'edit' END AS how FROM q)"""
 
 
-def _suffixes(spark, d):
+def _suffix_values(spark, d):
     tail = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("."), F.col("p_size").cast("string"))).otherwise("")
     suffix = F.concat(F.lower(F.translate("p_name", " ", ".")), F.lit("."), F.lower("p_type"), tail)
-    values = table(spark, d, "part").select(F.col("p_brand").alias("prefix"), suffix.alias("suffix"), "p_name")
+    return table(spark, d, "part").select(F.col("p_brand").alias("prefix"), suffix.alias("suffix"), "p_name")
+
+
+def _suffixes(spark, d):
+    values = _suffix_values(spark, d)
     return reconcile.similar_pairs(values, "prefix", "suffix", F.substring("p_name", 1, 3))
 
 
@@ -100,6 +104,12 @@ def similar_identifiers(spark, d):
     return _suffixes(spark, d)
 
 
+@query(f"""WITH {_SUFFIX} SELECT prefix, b AS block, size, suffix FROM v JOIN (SELECT prefix, b, count(*) AS size FROM v GROUP BY ALL HAVING count(*) > 100) USING (prefix, b)""")
+def oversized_identifiers(spark, d):
+    """What similar_identifiers and reconcile_decisions make no pairs of."""
+    return reconcile.oversized_groups(_suffix_values(spark, d), "prefix", "suffix", F.substring("p_name", 1, 3))
+
+
 @query(f"""WITH {_SUFFIX},
     c AS (SELECT DISTINCT suffix, CASE length(suffix) % 3 WHEN 0 THEN 'verified' ELSE 'rejected' END AS st FROM v WHERE length(suffix) % 5 <> 0),
     j AS (SELECT left_suffix AS l, right_suffix AS r, a.st AS sa, b.st AS sb FROM (SELECT DISTINCT left_suffix, right_suffix FROM w WHERE how IS NOT NULL) p LEFT JOIN c a ON p.left_suffix = a.suffix LEFT JOIN c b ON p.right_suffix = b.suffix)

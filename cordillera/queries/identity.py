@@ -49,6 +49,22 @@ def blocking_token_pairs(spark, d):
     return blocking.block_pairs(table(spark, d, "documents"), "doc_id", blocking.token_pair_keys(tokens), 100)
 
 
+@query(rf"""
+    WITH d AS (SELECT doc_id, {NORM.format(x="split_part(text, chr(10), 1)")} AS t FROM documents),
+    w AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split(t, ' '), lambda w: w <> ''))) AS w FROM d),
+    top AS (SELECT doc_id, w FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(w) DESC, w) <= 3),
+    k AS (SELECT DISTINCT a.doc_id, 'p ' || a.w || ' ' || b.w AS k FROM top a JOIN top b ON a.doc_id = b.doc_id AND a.w < b.w UNION ALL SELECT doc_id, 't ' || t FROM d WHERE t <> ''),
+    g AS (SELECT k, count(*) AS n, min(doc_id) AS least FROM k GROUP BY k HAVING count(*) > 1)
+    SELECT DISTINCT 'pair' AS kind, NULL::VARCHAR AS block, NULL::BIGINT AS size, a.doc_id AS left_id, b.doc_id AS right_id
+    FROM k a JOIN k b ON a.k = b.k AND a.doc_id < b.doc_id WHERE a.k IN (SELECT k FROM g WHERE n <= 100)
+    UNION ALL SELECT 'oversized', sha256(k), n, least, doc_id FROM k JOIN g USING (k) WHERE n > 100""")
+def blocking_all_titles(spark, d):
+    """Titles by their three longest tokens of any length and as a whole; blocks beyond the bound come as members."""
+    keys = blocking.title_keys(text.normalize_title(F.substring_index("text", "\n", 1)))
+    out = blocking.block_pairs_or_members(table(spark, d, "documents"), "doc_id", keys, 100)
+    return out.withColumn("block", F.sha2("block", 256))
+
+
 @query("""
     WITH n AS (SELECT DISTINCT p_name || ' ' || p_type AS v, substr(p_name, 1, 2) AS b FROM part)
     SELECT DISTINCT x.v AS left_value, y.v AS right_value, levenshtein(x.v, y.v)::INTEGER AS distance

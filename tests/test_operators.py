@@ -245,3 +245,17 @@ def test_runs_resume(spark, tmp_path):
     assert runs.merged({"a": {"b": 1, "c": 2}, "d": 3}, {"a": {"b": 9}}) == {"a": {"b": 9, "c": 2}, "d": 3}
     with pytest.raises(KeyError):
         runs.merged({"a": 1}, {"z": 1})
+
+
+def test_large_blocks_are_not_lost(spark):
+    titles = [(k, "al bo " + "cy") for k in range(5)] + [(7, "one two"), (8, "two one"), (9, ""), (10, "solo"), (11, "solo"), (12, None)]
+    df = spark.createDataFrame(titles, "i long, t string")
+    out = blocking.block_pairs_or_members(df, "i", blocking.title_keys(F.col("t")), 3).collect()
+    assert sorted((r.left_id, r.right_id) for r in out if r.kind == "pair") == [(7, 8), (10, 11)]
+    large = {}
+    for r in out:
+        if r.kind == "oversized":
+            large.setdefault((r.block, r["size"], r.left_id), []).append(r.right_id)
+    assert {k: sorted(v) for k, v in large.items()} == {(b, 5, 0): [0, 1, 2, 3, 4] for b in ("p al bo", "p al cy", "p bo cy", "t al bo cy")}
+    values = spark.createDataFrame([("10", f"abc.{k}") for k in range(4)] + [("11", "abc.1"), ("11", "abc.2")], "p string, s string")
+    assert rows(reconcile.oversized_groups(values, "p", "s", F.substring("s", 1, 3), 3)) == [("10", "abc", 4, f"abc.{k}") for k in range(4)]
