@@ -87,6 +87,19 @@ def snapshot_diff(spark, d):
     return audits.snapshot_diff(rows.where("k % 7 <> 0"), new, "k", ["s", "p"])
 
 
+@query("""
+    WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_orderpriority AS p FROM orders WHERE o_orderpriority IS DISTINCT FROM '1-URGENT'),
+    b AS (SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'P' THEN 'X' ELSE o_orderstatus END AS s, CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_orderpriority END AS p FROM orders WHERE o_orderpriority IS DISTINCT FROM '5-LOW'),
+    j AS (SELECT CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' WHEN a.s IS NOT DISTINCT FROM b.s AND a.p IS NOT DISTINCT FROM b.p THEN 'unchanged' ELSE 'changed' END AS state,
+                 concat_ws(',', CASE WHEN a.s IS DISTINCT FROM b.s THEN 's' END, CASE WHEN a.p IS DISTINCT FROM b.p THEN 'p' END) AS f FROM a FULL JOIN b ON a.k = b.k)
+    SELECT state, CASE WHEN state = 'changed' THEN f ELSE '' END AS fields, count(*) AS n FROM j GROUP BY ALL""")
+def snapshot_diff_all(spark, d):
+    """As above, but each order is in one version at least: the old lacks urgent ones, the new low ones."""
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"), F.col("o_orderpriority").alias("p"))
+    new = rows.where(~F.col("p").eqNullSafe("5-LOW")).select("k", F.when(F.col("s") == "P", "X").otherwise(F.col("s")).alias("s"), F.when(F.col("p") != "3-MEDIUM", F.col("p")).alias("p"))
+    return audits.snapshot_diff(rows.where(~F.col("p").eqNullSafe("1-URGENT")), new, "k", ["s", "p"])
+
+
 @query("""
     WITH s AS (SELECT l_partkey, l_returnflag, CASE WHEN l_linenumber <= 3 THEN 1 ELSE -1 END AS d FROM lineitem)
     SELECT l_partkey, l_returnflag, sum(d)::BIGINT AS surplus FROM s GROUP BY ALL HAVING sum(d) <> 0""")
