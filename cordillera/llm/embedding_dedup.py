@@ -13,13 +13,16 @@ returns one number of links for each vector and a spanning forest of the links,
 the links themselves.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing
-and keep themselves, and so do vectors whose length is not the most common one.
+and keep themselves.  Vectors link with vectors of their own length, and each length
+that two vectors or more have is ordered and joined by itself, on axes of its own.
 Rows without an id are left out. Other columns are ignored; an empty table gives an
 empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,12 +40,10 @@ SLACK = 1e-6
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id and v (array of doubles) of the vectors that can link, all of one length."""
+    """id and v (array of doubles) of the vectors that can link."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    rows = rows.where("id is not null").where(F.col("v").isNotNull() & (F.size("v") > 0)).where(finite)
-    common = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()  # one row
-    return rows.where(F.size("v") == (common[0]["d"] if common else 0))
+    return rows.where("id is not null").where(F.col("v").isNotNull() & (F.size("v") > 0)).where(finite)
 
 
 def unit(matrix: np.ndarray) -> np.ndarray:
@@ -152,16 +153,15 @@ def _links(axes: np.ndarray, least: float):
             for p, q in zip(ids[i[order_]].tolist(), ids[j[order_]].tolist()):
                 forest.join(p, q)
         members, roots = forest.edges()
-        columns = [np.r_[ids[some], members].astype(np.int64), np.r_[np.full(len(some), -1), roots].astype(np.int64), np.r_[links[some], np.zeros(len(members))].astype(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "links"])
+        columns = [np.r_[ids[some], members].astype(np.int64), np.r_[np.zeros(len(some)), roots].astype(np.int64), np.r_[links[some], np.zeros(len(members))].astype(np.int64)]
+        counted = np.arange(len(columns[0])) < len(some)  # rows with links have no b, edges have one
+        return pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1], mask=counted), pa.array(columns[2])], ["a", "b", "links"])
 
     return grouped("pair", solve)
 
 
-def embedding_links(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", interval: int = INTERVAL) -> DataFrame:
-    """One row per vector: id, n_links, component_id, kept."""
-    spark = vectors.sparkSession
-    rows = valid_vectors(vectors, id_col, vector_col)
+def linked_classes(rows: DataFrame, least: float, interval: int) -> DataFrame:
+    """v, links and component of each distinct vector; all are of one length."""
     classes = settled(rows.groupBy("v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
     axes = principal_axes(classes)
     count = classes.count()
@@ -214,10 +214,19 @@ def embedding_links(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     sides = sides.unionByName(pairs.where("p < q").select(pair, F.col("q").alias("block"), F.lit(1).alias("side")))
     dealt = placed.join(sides, "block").select("pair", "side", "ids", "counts", "vectors")
     found = settled(dealt.repartition("pair").sortWithinPartitions("pair").mapInArrow(frugal(_links(axes, least)), "a long, b long, links long"))
-    links = found.where("b = -1").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    roots = components(found.where("b >= 0").select("a", "b")).select(F.col("node").alias("rep"), "component")
+    links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
+    roots = components(found.where("b is not null").select("a", "b")).select(F.col("node").alias("rep"), "component")
     whole = classes.select("v", "rep", "n").join(links, "rep", "left").join(roots, "rep", "left")
-    whole = whole.select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "rep").alias("component"))
+    return whole.select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "rep").alias("component"))
+
+
+def embedding_links(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", interval: int = INTERVAL) -> DataFrame:
+    """One row per vector: id, n_links, component_id, kept."""
+    rows = valid_vectors(vectors, id_col, vector_col)
+    lengths = [r["d"] for r in rows.groupBy(F.size("v").alias("d")).count().where("count > 1").orderBy("d").collect()]  # a row for each length
+    none = rows.limit(0).select("v", F.lit(0).cast("long").alias("links"), F.col("id").alias("component"))
+    parts = [linked_classes(rows.where(F.size("v") == d), least, interval) for d in lengths]
+    whole = reduce(lambda a, b: a.unionByName(b), parts) if parts else none
     members = rows.join(whole, "v").select("id", "links", "component")
     every = vectors.select(F.col(id_col).cast("long").alias("id")).where("id is not null").join(members, "id", "left")
     component = F.coalesce("component", "id")

@@ -161,3 +161,14 @@ def test_lost_segments_are_noticed(spark, tmp_path):
     (tmp_path / "a.warc").write_bytes(b"".join(r + b"\r\n\r\n" for r in own[:1] + own[2:]))
     with pytest.raises(Exception, match="missing"):
         read_warc(spark, f"file://{tmp_path}").collect()
+
+
+def test_embeddings_of_every_length_link(spark):
+    rng = np.random.default_rng(8)
+    rows, base = [], {d: rng.normal(size=d) for d in (3, 8)}
+    for d, ids in ((8, (-5, -4, 10)), (3, (-9, -1, 7, 8)), (5, (20,))):
+        for i in ids:
+            rows.append((i, (base.get(d, np.ones(d)) * (2.0 + i % 3)).tolist()))
+    rows.append((30, rng.normal(size=8).tolist()))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {-5: (2, -5), -4: (2, -5), 10: (2, -5), -9: (3, -9), -1: (3, -9), 7: (3, -9), 8: (3, -9), 20: (0, 20), 30: (0, 30)}
