@@ -8,9 +8,10 @@ rank without a sort: each task numbers its own pieces of each length, and sums o
 the tasks' counts give the offsets.
 
 Planning first fixes sets that dominate every alternative: a piece that nothing fits
-beside, a pair that fills a sequence, and the largest piece with the largest partner
-whenever no two or more pieces fit beside it with a greater sum.  What is left goes
-best-fit, in descending length.
+beside, a pair that fills a sequence, and a piece with its largest partner whenever no
+two or more pieces fit beside it with a greater sum.  Every length is tried, in
+descending order, until none gives a set any more; sets of three pieces are not tried.
+What is left goes best-fit, in descending length.
 
 Null texts count as empty; every document has at least the separator, so an empty
 text is one piece of one token.  Ties and repeated rows are packed like any others,
@@ -20,7 +21,7 @@ other columns are ignored, and an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -59,26 +60,35 @@ def dominant(counts: Counter, capacity: int) -> Plan:
                 fix((size, capacity - size), n)
     if counts.get(capacity):
         fix((capacity,), counts[capacity])
-    while counts:
-        sizes = sorted(counts)
-        large = sizes[-1]
-        room = capacity - large
-        own = [s for s in sizes if s <= room and (s != large or counts[s] > 1)]
-        if not own:
-            fix((large,), counts[large] if large > room else 1)
-            continue
-        partner = own[-1]
-        # The greatest sum of two or more pieces beside the largest one.
-        two = own[0] * 2 if counts[own[0]] > 1 else own[0] + (own[1] if len(own) > 1 else room + 1)
-        if two <= room and best_sum(counts, own, room) > partner:
-            break
-        n = 1 if partner == large else min(counts[large], counts[partner])
-        if two <= room:  # another partner count may admit other sums: one at a time
-            n = 1
-        fix((large, partner), n)
+    found = True
+    while found:  # what is fixed leaves fewer sums, so that lengths passed over may be dominated later
+        found = False
+        for large in sorted(counts, reverse=True):
+            while counts.get(large):
+                room = capacity - large
+                own = [s for s in sorted(counts) if s <= room and (s != large or counts[s] > 1)]
+                if not own:
+                    fix((large,), counts[large] if large > room else 1)
+                    found = True
+                    continue
+                partner = own[-1]
+                if two_between(counts, own, partner, room) or best_sum(counts, own, room) > partner:
+                    break
+                # Fewer pieces only take sums away, so this holds while both lengths last.
+                fix((max(large, partner), min(large, partner)), counts[large] // 2 if partner == large else min(counts[large], counts[partner]))
+                found = True
     return plan
 
 
+def two_between(counts: Counter, sizes: list[int], least: int, room: int) -> bool:
+    """Whether two pieces have a sum over ``least`` and at most ``room``: the common case of best_sum, and cheaper."""
+    for size in sizes:
+        k = bisect_right(sizes, room - size) - 1
+        if k >= 0 and sizes[k] + size > least and (sizes[k] != size or counts[size] > 1):
+            return True
+    return False
+
+
 def best_sum(counts: Counter, sizes: list[int], room: int) -> int:
     """The greatest sum, at most ``room``, of two or more pieces; by reachable sums as bits."""
     mask = (1 << (room + 1)) - 1

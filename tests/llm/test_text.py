@@ -146,3 +146,35 @@ def test_held_out_labels_do_not_matter(spark):
     turned = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")).cast("int"))
     one, two = ({r[0]: r["score"] for r in toxicity.score_toxicity(docs, x).collect()} for x in (labels, turned))
     assert one == two
+
+
+def test_dominance_goes_past_the_largest_piece():
+    def fewest(sizes, capacity):
+        best = [len(sizes)]
+
+        def go(k, rooms):
+            if len(rooms) >= best[0]:
+                return
+            if k == len(sizes):
+                best[0] = len(rooms)
+                return
+            for i in range(len(rooms)):
+                if rooms[i] >= sizes[k] and rooms[i] not in rooms[:i]:
+                    go(k + 1, rooms[:i] + [rooms[i] - sizes[k]] + rooms[i + 1 :])
+            go(k + 1, [*rooms, capacity - sizes[k]])
+
+        go(0, [])
+        return best[0]
+
+    rng = random.Random(5)
+    past = 0
+    for _ in range(300):
+        capacity = rng.choice([12, 20, 31])
+        sizes = sorted((rng.randint(1, capacity) for _ in range(rng.randint(1, 9))), reverse=True)
+        rest = Counter(sizes)
+        plan = dominant(rest, capacity)
+        fixed = sum(n for _, n in plan)
+        assert Counter(s for pattern, n in plan for s in pattern * n) + rest == Counter(sizes) and all(sum(p) <= capacity for p, _ in plan)
+        assert fixed + fewest(sorted(rest.elements(), reverse=True), capacity) == fewest(sizes, capacity)
+        past += bool(rest) and any(max(p) < max(rest) and sum(p) < capacity for p, _ in plan)
+    assert past
