@@ -13,7 +13,7 @@ d <= e between linked documents their distances to any pivot differ by e at most
     Voronoi region of its nearest pivots, and is replicated to those farther ones it
     cannot leave without risking a link.
 3.  In a region, members within e of the pivot are in its component.  A small region
-    is compared by one task.  A large one is cut recursively: members are dealt to
+    is compared by one task.  A large one is cut once: members are dealt to
     rings by their distance to the pivot and rings to blocks of bounded size, and
     pairs of blocks meet whose rings are no farther apart than e, unless both lie
     within e of the pivot.
