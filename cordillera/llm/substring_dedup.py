@@ -11,8 +11,8 @@ Only minimisers that occur in two documents or more are packed at all; their cou
 come from a grouped sum of (minimiser, document) rows.  A minimiser with more than
 ``HOT`` occurrences does not go to one bucket: its windows, one by one, are grouped
 by a digest of their words: each task keeps its own occurrences, sends one row for
-each distinct window of a slice of documents, and gets one back.  Both ways compare
-whole windows, and no window is left out.
+each distinct window of a slice of documents, and gets one back.  The first way
+compares whole windows, this one their 160-bit digests; no window is left out.
 
 Windows are judged on the input.  Null texts have no words and stay as they are;
 texts shorter than a window keep all words; rows that repeat a document id are not
