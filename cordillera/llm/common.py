@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,11 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session leaves it unset (tests, a single machine) is a local
-    one set instead.
+    Only on a single machine may the session leave it unset: a local folder is set
+    then. On a cluster that is an error, as executors would not see each other's files.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="cordillera-")
         spark.sparkContext.setCheckpointDir(found)
     elif not spark.sparkContext.getCheckpointDir():
@@ -41,7 +44,7 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 #: Ids up to which a set of documents is broadcast; a larger one meets the documents in a shuffle.
-BROADCAST_IDS = 500_000
+BROADCAST_IDS = 200_000
 
 
 def sized(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
@@ -50,10 +53,54 @@ def sized(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= most else ids
 
 
-def without(docs: DataFrame, gone: DataFrame, id_col: str, most: int = BROADCAST_IDS) -> DataFrame:
-    """The documents whose id is not in ``gone`` (its first column); documents without an id stay."""
-    gone = sized(gone.select(F.col(gone.columns[0]).alias("__gone_id")), most)
-    return docs.join(gone, docs[id_col] == gone["__gone_id"], "left_anti")
+def row_mark(text: Column) -> Column:
+    """With the id it tells rows apart: rows that agree in both hold the same text."""
+    return F.xxhash64(text)
+
+
+def lasting_mark(rows: DataFrame, id_col: str, text_col: str) -> Column:
+    """``row_mark`` where rows repeat an id, else 0: what tells rows of one id apart costs nothing where there are none."""
+    ids = rows.select(F.col(id_col).alias("id")).where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return F.lit(0).cast("long") if ids.isEmpty() else row_mark(F.col(text_col))
+
+
+def _same_rows(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
+    rows = rows.select(F.col("id").alias("__row_id"), F.col("mark").alias("__row_mark"))
+    return docs.join(rows, docs[id_col].eqNullSafe(rows["__row_id"]) & (row_mark(docs[text_col]) == rows["__row_mark"]), how)
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, most: int = BROADCAST_IDS) -> DataFrame:
+    """The documents without the rows that ``gone`` names by id (null: none) and mark."""
+    return _same_rows(docs, sized(gone.select("id", "mark"), most), id_col, text_col, "left_anti")
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, most: int = BROADCAST_IDS) -> DataFrame:
+    """The documents, but of those that ``rows`` names by id and mark one for each id and mark."""
+    rows = sized(rows.select("id", "mark"), most)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = _same_rows(docs, rows, id_col, text_col, "left_semi").groupBy(F.col(id_col).alias("__i"), row_mark(F.col(text_col)).alias("__m")).agg(F.any_value(whole).alias("__row"))
+    return _same_rows(docs, rows, id_col, text_col, "left_anti").unionByName(one.select("__row.*"))
+
+
+def keyed(rows: DataFrame, id_col: str, content: Column) -> tuple[DataFrame, bool]:
+    """``rows`` with a long column ``__key`` that is the id where one row has it, and whether any has not.
+
+    Rows that have no id, or an id that other rows have too, get a key from id and
+    content instead, which no id is; those that agree in both share it. What such
+    rows cost is one sum over the ids where there are none.
+    """
+    i = F.col(id_col).cast("long")
+    ids = settled(rows.select(i.alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null").select(F.col("id").alias("__odd_id")))
+    if ids.isEmpty():
+        return rows.withColumn("__key", i), False
+    odd = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    marked = rows.join(odd.withColumn("__odd", F.lit(True)), i.eqNullSafe(F.col("__odd_id")), "left").drop("__odd_id")
+    for seed in range(100):
+        out = marked.withColumn("__key", F.when(F.col("__odd"), F.xxhash64(F.lit(seed), i, content)).otherwise(i)).drop("__odd")
+        made = marked.where("__odd").select(F.xxhash64(F.lit(seed), i, content).alias("__made")).distinct()
+        if rows.join(made, i == F.col("__made"), "left_semi").isEmpty():
+            return out, True
+    raise RuntimeError("no keys for rows without an id of their own")
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -9,8 +9,9 @@ merged and removed.  Windows are judged on the input.
 Documents of fewer than three lines have no windows and keep all lines.  Null texts
 have no lines; an empty text is one empty line.  Other columns are passed through by
 ``line_dedup`` and ignored by ``line_report``; an empty table gives an empty result.
-Document ids are expected to be unique; rows without an id keep all lines and count
-for no other row.
+Rows that repeat an id are documents of their own, ordered by a hash of their texts;
+those that agree in id and text are one occurrence, and none of them removes lines of
+the others.  Rows without an id keep all lines and count for no other row.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import row_mark
+
 WIDTH = 3
 
 
@@ -26,27 +29,28 @@ def _lines(text: Column) -> Column:
 
 
 def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """id and places (of first lines) of the windows that occurred before, one row per document that has any."""
-    lines = docs.select(F.col(id_col).cast("long").alias("id"), _lines(F.col(text_col)).alias("lines"))
+    """id, mark (see ``row_mark``) and places (of first lines) of the windows that occurred before, one row per document that has any."""
+    lines = docs.select(F.col(id_col).cast("long").alias("id"), row_mark(F.col(text_col)).alias("mark"), _lines(F.col(text_col)).alias("lines"))
     lines = lines.where("id is not null").where(F.size("lines") >= width)
     digest = F.transform(
         F.sequence(F.lit(1), F.size("lines") - width + 1),
         lambda i: F.substring(F.unhex(F.sha2(F.array_join(F.slice("lines", i, width), "\n"), 256)), 1, 16),
     )
-    windows = lines.select("id", F.posexplode(digest).alias("place", "digest"))
-    first = windows.groupBy("digest").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first")
-    again = windows.join(first, "digest").where((F.col("id") != F.col("first.id")) | (F.col("place") != F.col("first.place")))
-    return again.groupBy("id").agg(F.collect_list("place").alias("places"))
+    windows = lines.select("id", "mark", F.posexplode(digest).alias("place", "digest"))
+    first = windows.groupBy("digest").agg(F.min(F.struct("id", "mark", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first")
+    again = windows.join(first, "digest").where((F.col("id") != F.col("first.id")) | (F.col("mark") != F.col("first.mark")) | (F.col("place") != F.col("first.place")))
+    return again.groupBy("id", "mark").agg(F.collect_set("place").alias("places"))
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """The documents with ``__lines`` and ``__kept``, the places of the lines that stay."""
-    later = later_windows(docs, id_col, text_col, width).withColumnRenamed("id", "__later_id").withColumnRenamed("places", "__places")
+    later = later_windows(docs, id_col, text_col, width).select(F.col("id").alias("__later_id"), F.col("mark").alias("__later_mark"), F.col("places").alias("__places"))
     covered = F.array_distinct(F.flatten(F.transform("__places", lambda p: F.sequence(p, p + (width - 1)))))
     every = F.when(F.size("__lines") > 0, F.sequence(F.lit(0), F.size("__lines") - 1)).otherwise(F.array().cast("array<int>"))
     kept = F.when(F.col("__places").isNull(), every).otherwise(F.array_except(every, covered))
-    rows = docs.join(later, docs[id_col] == later["__later_id"], "left").withColumn("__lines", _lines(docs[text_col]))
-    return rows.withColumn("__kept", kept).drop("__later_id", "__places")
+    same = (docs[id_col] == later["__later_id"]) & (row_mark(docs[text_col]) == later["__later_mark"])
+    rows = docs.join(later, same, "left").withColumn("__lines", _lines(docs[text_col]))
+    return rows.withColumn("__kept", kept).drop("__later_id", "__later_mark", "__places")
 
 
 def _text() -> Column:

@@ -15,10 +15,11 @@ each distinct window of a slice of documents, and gets one back.  The first way
 compares whole windows, this one their 160-bit digests; no window is left out.
 
 Windows are judged on the input.  Null texts have no words and stay as they are;
-texts shorter than a window keep all words; rows that repeat a document id are not
-expected (ids decide which copy is first).  Other columns are passed through by
-``substring_dedup`` and ignored by ``repeated_spans``, and an empty table gives an
-empty result.
+texts shorter than a window keep all words.  Rows that repeat a document id are rows of
+their own, told apart by a hash of their texts, and as no id is smaller than itself
+they remove nothing from each other; rows without an id keep all words and count for
+no other.  Other columns are passed through by ``substring_dedup`` and ignored by
+``repeated_spans``, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,11 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import spread
-from .common import frugal, settled
+from .common import frugal, lasting_mark, settled
 from .words import mix, slices, spans_hash, words_of
 
 WINDOW = 50
@@ -44,7 +45,7 @@ PACKED_ROWS = 20_000
 SLICE_WINDOWS = 200_000
 #: Documents with hot runs up to which these are broadcast; more are joined by a shuffle.
 BROADCAST_DOCS = 200_000
-HOT_SLICES = "slice string, ids array<long>, first array<long>, code array<long>, digests array<binary>, low array<long>, high array<long>"
+HOT_SLICES = "slice string, ids array<long>, marks array<long>, first array<long>, code array<long>, digests array<binary>, low array<long>, high array<long>"
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -75,35 +76,36 @@ def _occurrences(window: int, seed: int):
             at = np.flatnonzero(new)
             runs = np.diff(np.r_[at, len(first)])
             ids = part.column("id").to_numpy()
-            columns = [least[at].view(np.int64), ids[text[at]], (first[at] - words.bounds[text[at]]).astype(np.int32), runs.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["mini", "id", "first", "n"])
+            marks = part.column("mark").to_numpy()
+            columns = [least[at].view(np.int64), ids[text[at]], marks[text[at]], (first[at] - words.bounds[text[at]]).astype(np.int32), runs.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["mini", "id", "mark", "first", "n"])
 
     return run
 
 
-def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[dict]]]:
-    """id, words and listed runs of windows of each document that has any."""
+def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[bytes], list[dict]]]:
+    """id, mark, words and listed runs of windows of each document that has any."""
     for part in slices(batches):
-        own = [(i, t, r) for i, t, r in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), part.column("runs").to_pylist()) if r]
-        for i, text, runs in own:
-            yield i, text.encode().split(), runs
+        own = [x for x in zip(*(part.column(c).to_pylist() for c in ("id", "mark", "text", "runs"))) if x[3]]
+        for i, mark, text, runs in own:
+            yield i, mark, text.encode().split(), runs
 
 
 def _packed(window: int):
     """One packed string for each listed run of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: tuple[list, ...] = ([], [], [], [])
+        out: tuple[list, ...] = ([], [], [], [], [])
 
         def flush() -> pa.RecordBatch:
             nonlocal out
-            columns = [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))]
-            out = ([], [], [], [])
-            return pa.RecordBatch.from_arrays(columns, ["mini", "id", "first", "packed"])
+            columns = [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))]
+            out = ([], [], [], [], [])
+            return pa.RecordBatch.from_arrays(columns, ["mini", "id", "mark", "first", "packed"])
 
-        for i, words, runs in _cut_runs(batches):
+        for i, mark, words, runs in _cut_runs(batches):
             for r in runs:
-                for x, y in zip(out, (r["mini"], i, r["first"], b" ".join(words[r["first"] : r["first"] + r["n"] + window - 1]))):
+                for x, y in zip(out, (r["mini"], i, mark, r["first"], b" ".join(words[r["first"] : r["first"] + r["n"] + window - 1]))):
                     x.append(y)
             if len(out[0]) >= PACKED_ROWS:
                 yield flush()
@@ -120,26 +122,26 @@ def _hot_slices(window: int):
 
         task, made = TaskContext.get().partitionId(), 0
         known: dict[bytes, int] = {}
-        held: tuple[list, ...] = ([], [], [])
+        held: tuple[list, ...] = ([], [], [], [])
 
         def flush() -> pa.RecordBatch:
             nonlocal made, known, held
-            ids, first, code = (np.array(x, np.int64) for x in held)
+            ids, marks, first, code = (np.array(x, np.int64) for x in held)
             low = np.full(len(known), np.iinfo(np.int64).max)
             high = np.full(len(known), np.iinfo(np.int64).min)
             np.minimum.at(low, code, ids)
             np.maximum.at(high, code, ids)
             columns = [pa.array([f"{task}-{made}"])]
-            columns += [pa.array([x], pa.list_(pa.int64())) for x in (ids, first, code)]
+            columns += [pa.array([x], pa.list_(pa.int64())) for x in (ids, marks, first, code)]
             columns += [pa.array([list(known)], pa.list_(pa.binary()))] + [pa.array([x], pa.list_(pa.int64())) for x in (low, high)]
-            made, known, held = made + 1, {}, ([], [], [])
+            made, known, held = made + 1, {}, ([], [], [], [])
             return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in HOT_SLICES.split(", ")])
 
-        for i, words, runs in _cut_runs(batches):
+        for i, mark, words, runs in _cut_runs(batches):
             for r in runs:
                 for k in range(r["first"], r["first"] + r["n"]):
                     digest = hashlib.blake2b(b" ".join(words[k : k + window]), digest_size=20).digest()
-                    for x, y in zip(held, (i, k, known.setdefault(digest, len(known)))):
+                    for x, y in zip(held, (i, mark, k, known.setdefault(digest, len(known)))):
                         x.append(y)
             if len(held[0]) >= SLICE_WINDOWS:
                 yield flush()
@@ -158,10 +160,9 @@ def _hot_spans(window: int):
                 low = np.full(row["size"], np.iinfo(np.int64).max)
                 for x in row["lows"]:
                     low[x["at"]] = x["low"]
-                ids, first, code = (np.array(row[c], np.int64) for c in ("ids", "first", "code"))
+                ids, marks, first, code = (np.array(row[c], np.int64) for c in ("ids", "marks", "first", "code"))
                 found = low[code] < ids
-                spans = _spans(first[found], ids[found], window)
-                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in spans], ["id", "begin", "stop"])
+                yield _spans(first[found], ids[found], marks[found], window)
 
     return run
 
@@ -198,26 +199,26 @@ def repeated_windows(words: list[bytes] | pa.Array, bounds: np.ndarray, ids: np.
     return source[found], place[found] - bounds[source[found]]
 
 
-def _spans(first: np.ndarray, ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Covered word spans of each id, overlapping ones merged."""
-    order = np.lexsort((first, ids))
-    first, ids = first[order], ids[order]
-    new = np.r_[True, (ids[1:] != ids[:-1]) | (first[1:] > first[:-1] + window)][: len(first)]
+def _spans(first: np.ndarray, ids: np.ndarray, marks: np.ndarray, window: int) -> pa.RecordBatch:
+    """Covered word spans of each row, overlapping ones merged."""
+    order = np.lexsort((first, marks, ids))
+    first, ids, marks = first[order], ids[order], marks[order]
+    new = np.r_[True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1]) | (first[1:] > first[:-1] + window)][: len(first)]
     at = np.flatnonzero(new)
     last = np.r_[at[1:], len(first)][: len(at)] - 1
-    return ids[at], first[at], first[last] + window
+    columns = [ids[at], marks[at], first[at], first[last] + window]
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], ["id", "mark", "begin", "stop"])
 
 
 def _bucket(window: int):
     """Repeated spans of rows sorted by minimiser; rows of one minimiser are looked at together."""
 
     def solve(table: pa.Table) -> pa.RecordBatch:
-        ids, first = table.column("id").to_numpy(), table.column("first").to_numpy()
+        ids, marks, first = (table.column(c).to_numpy() for c in ("id", "mark", "first"))
         split = [x.split(b" ") for x in table.column("packed").to_pylist()]
         bounds = np.r_[0, np.cumsum([len(x) for x in split])]
         string, place = repeated_windows([w for x in split for w in x], bounds, ids, window)
-        spans = _spans(first[string].astype(np.int64) + place, ids[string], window)
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in spans], ["id", "begin", "stop"])
+        return _spans(first[string].astype(np.int64) + place, ids[string], marks[string], window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -237,25 +238,29 @@ def _bucket(window: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED, hot: int = HOT) -> DataFrame:
-    """Spans of words [begin, stop) that repeated windows cover: id, begin, stop; a document's spans may overlap."""
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED, hot: int = HOT, mark: Column | None = None) -> DataFrame:
+    """Spans of words [begin, stop) that repeated windows cover: id, mark, begin, stop; a document's spans may overlap.
+
+    ``mark`` tells rows of one id apart (see ``lasting_mark``).
+    """
+    mark = lasting_mark(docs, id_col, text_col) if mark is None else mark
     # The same rows are shuffled by id here and in _with_spans: Spark does it once.
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    runs = settled(texts.mapInArrow(frugal(_occurrences(window, seed)), "mini long, id long, first int, n int"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), mark.alias("mark"), F.col(text_col).alias("text")).where("id is not null")
+    runs = settled(texts.mapInArrow(frugal(_occurrences(window, seed)), "mini long, id long, mark long, first int, n int"))
     counted = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("low"), F.max("id").alias("high"))
     shared = settled(runs.join(counted.where("low < high").select("mini", "c"), "mini"))
-    listed = lambda rows: rows.groupBy("id").agg(F.collect_list(F.struct("mini", "first", "n")).alias("runs"))
-    cool = texts.join(listed(shared.where(F.col("c") <= hot)), "id").select("id", "text", "runs")
-    cool = cool.mapInArrow(frugal(_packed(window)), "mini long, id long, first int, packed binary")
-    spans = cool.repartition("mini").sortWithinPartitions("mini").mapInArrow(frugal(_bucket(window)), "id long, begin long, stop long")
+    listed = lambda rows: rows.groupBy("id", "mark").agg(F.collect_set(F.struct("mini", "first", "n")).alias("runs"))
+    cool = texts.join(listed(shared.where(F.col("c") <= hot)), ["id", "mark"]).select("id", "mark", "text", "runs")
+    cool = cool.mapInArrow(frugal(_packed(window)), "mini long, id long, mark long, first int, packed binary")
+    spans = cool.repartition("mini").sortWithinPartitions("mini").mapInArrow(frugal(_bucket(window)), "id long, mark long, begin long, stop long")
     warm = settled(listed(shared.where(F.col("c") > hot)))
     warm = F.broadcast(warm) if warm.count() <= BROADCAST_DOCS else warm
-    held = settled(texts.join(warm, "id").select("id", "text", "runs").mapInArrow(frugal(_hot_slices(window)), HOT_SLICES))
+    held = settled(texts.join(warm, ["id", "mark"]).select("id", "mark", "text", "runs").mapInArrow(frugal(_hot_slices(window)), HOT_SLICES))
     each = held.select("slice", F.posexplode(F.arrays_zip("digests", "low", "high")).alias("at", "x")).select("slice", "at", "x.digests", "x.low", "x.high")
     least = each.groupBy("digests").agg(F.min("low").alias("low"), F.max("high").alias("top")).where("low < top").select("digests", "low")
     back = each.select("slice", "at", "digests").join(least, "digests").groupBy("slice").agg(F.collect_list(F.struct("at", "low")).alias("lows"))
-    again = held.select("slice", "ids", "first", "code", F.size("digests").alias("size")).join(back, "slice")
-    return spans.unionByName(again.mapInArrow(frugal(_hot_spans(window)), "id long, begin long, stop long"))
+    again = held.select("slice", "ids", "marks", "first", "code", F.size("digests").alias("size")).join(back, "slice")
+    return spans.unionByName(again.mapInArrow(frugal(_hot_spans(window)), "id long, mark long, begin long, stop long"))
 
 
 def _kept(row_words: list[bytes], spans: list) -> list[bytes]:
@@ -267,9 +272,11 @@ def _kept(row_words: list[bytes], spans: list) -> list[bytes]:
 
 
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, window: int, seed: int, hot: int) -> DataFrame:
-    spans = repeated_spans(docs, id_col, text_col, window, seed, hot).groupBy(F.col("id").alias("__span_id")).agg(F.collect_list(F.struct("begin", "stop")).alias("__spans"))
+    mark = lasting_mark(docs, id_col, text_col)
+    spans = repeated_spans(docs, id_col, text_col, window, seed, hot, mark)
+    spans = spans.groupBy(F.col("id").alias("__span_id"), F.col("mark").alias("__span_mark")).agg(F.collect_set(F.struct("begin", "stop")).alias("__spans"))
     known = docs.where(docs[id_col].isNotNull())
-    out = known.join(spans, known[id_col] == spans["__span_id"], "left").drop("__span_id")
+    out = known.join(spans, (known[id_col] == spans["__span_id"]) & (mark == spans["__span_mark"]), "left").drop("__span_id", "__span_mark")
     nameless = docs.where(docs[id_col].isNull()).withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType))
     return out.unionByName(nameless)
 

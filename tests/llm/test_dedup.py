@@ -141,3 +141,37 @@ def test_empty_tables(spark):
     df = frame(spark, [])
     for f in (exact_groups, line_report, line_dedup, substring_report, substring_dedup, exact_dedup, repeated_spans):
         assert f(df).collect() == []
+
+
+REPEATED = [(5, "a"), (5, "a"), (4, "a"), (5, "A"), (5, "b"), (None, "b"), (None, "c"), (None, "C"), (None, "c"), (6, None), (6, ""), (7, "d")]
+
+
+@pytest.mark.parametrize("keep", ["max", "min"])
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_exact_keeps_one_row_whatever_the_ids(spark, keep, partitions):
+    groups = exact_groups(frame(spark, REPEATED * 30, partitions), keep=keep).collect()
+    assert len(groups) == 30 * len(REPEATED)
+    size = {hashlib.sha256(t.encode()).hexdigest(): 30 * n for t, n in (("a", 4), ("b", 2), ("c", 3), ("", 2), ("d", 1))}
+    best = {"a": 5 if keep == "max" else 4, "b": 5, "c": None, "": 6, "d": 7}
+    best = {hashlib.sha256(t.encode()).hexdigest(): k for t, k in best.items()}
+    assert {r["text_sha256"]: (r["group_size"], r["keep_id"]) for r in groups} == {h: (n, best[h]) for h, n in size.items()}
+    assert sorted(r["text_sha256"] for r in groups if r["kept"]) == sorted(size) and all(r["doc_id"] == r["keep_id"] for r in groups if r["kept"])
+    kept = exact_dedup(frame(spark, REPEATED * 30, partitions), keep=keep).collect()
+    assert sorted((r["text"] or "").lower() for r in kept) == ["", "a", "b", "c", "d"]
+    assert {(r["text"] or "").lower(): r["doc_id"] for r in kept} == {t: best[hashlib.sha256(t.encode()).hexdigest()] for t in "abcd"} | {"": 6}
+
+
+def test_rows_that_repeat_an_id_lose_only_their_own_words(spark):
+    one = [f"p{k}" for k in range(60)]
+    texts = [(1, " ".join(one)), (2, " ".join(one + [f"x{k}" for k in range(20)])), (2, " ".join([f"y{k}" for k in range(60)] + one[:55])), (2, " ".join(one + [f"x{k}" for k in range(20)])), (3, "z")]
+    for hot in (0, 256):
+        got = sorted(tuple(r)[:3] for r in substring_report(frame(spark, texts), hot=hot).collect())
+        assert got == [(1, 60, 0), (2, 80, 60), (2, 80, 60), (2, 115, 55), (3, 1, 0)]
+    kept = sorted(r["text"] for r in substring_dedup(frame(spark, texts)).collect() if r["doc_id"] == 2)
+    assert kept[0] == kept[1] == " ".join(f"x{k}" for k in range(20)) and kept[2] == " ".join(f"y{k}" for k in range(60))
+
+
+def test_lines_of_rows_that_repeat_an_id(spark):
+    texts = [(1, "a\nb\nc"), (2, "a\nb\nc\nd"), (2, "x\ny\nz\na\nb\nc"), (2, "x\ny\nz\na\nb\nc"), (3, "q\nx\ny\nz"), (4, "u\nv\nw"), (4, "u\nv\nw")]
+    got = sorted(tuple(r)[:3] for r in line_report(frame(spark, texts)).collect())
+    assert got == [(1, 3, 0), (2, 4, 3), (2, 6, 3), (2, 6, 3), (3, 4, 3), (4, 3, 0), (4, 3, 0)]

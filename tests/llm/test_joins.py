@@ -9,7 +9,7 @@ import pytest
 from cordillera.llm.components import components
 from cordillera.llm.embedding_dedup import embedding_links
 from cordillera.llm.jaccard_join import jaccard_components, keep_one_of_each
-from cordillera.llm.warc import SEGMENT_BYTES, from_chunks, http_payload, parse, payload_digest, read_warc, records, to_chunks, warc_round_trip, write_warc
+from cordillera.llm.warc import SEGMENT_BYTES, from_chunks, http_payload, parse, payload_digest, read_warc, record_name, records, to_chunks, warc_round_trip, write_warc
 
 
 def roots(nodes, edges):
@@ -128,7 +128,7 @@ def test_chunks():
 
 def test_parse_goes_by_length():
     page = b"WARC/1.1\r\n\r\n\r\nWARC/1.1\r\nContent-Length: 9\r\n\r\n"
-    archive = b"".join(r + b"\r\n\r\n" for r in records(5, "http://x/", page, None, 40))
+    archive = b"".join(r + b"\r\n\r\n" for r in records(record_name(5), "http://x/", page, None, 40))
     for data in (archive, gzip.compress(archive[:500]) + gzip.compress(archive[500:])):
         found = list(parse(data))
         assert len(found) > 3 and http_payload(b"".join(b for _, b in found)) == page
@@ -157,7 +157,7 @@ def test_warc(spark, tmp_path):
 
 
 def test_lost_segments_are_noticed(spark, tmp_path):
-    own = list(records(1, "u", b"y" * 100_000, None))
+    own = list(records(record_name(1), "u", b"y" * 100_000, None))
     (tmp_path / "a.warc").write_bytes(b"".join(r + b"\r\n\r\n" for r in own[:1] + own[2:]))
     with pytest.raises(Exception, match="missing"):
         read_warc(spark, f"file://{tmp_path}").collect()
@@ -172,3 +172,19 @@ def test_embeddings_of_every_length_link(spark):
     rows.append((30, rng.normal(size=8).tolist()))
     got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
     assert got == {-5: (2, -5), -4: (2, -5), 10: (2, -5), -9: (3, -9), -1: (3, -9), 7: (3, -9), 8: (3, -9), 20: (0, 20), 30: (0, 30)}
+
+
+def test_warc_rows_that_share_an_id(spark, tmp_path):
+    evil = "http://a/\r\nContent-Length: 3\r\n\r\nx y\x00\x7f"
+    long = "z" * 100_000
+    pages = [(3, evil, "x"), (3, evil, "x"), (3, "http://b/", "x"), (3, "http://b/", "y"), (2, "u", "y"), (None, "v", "x"), (None, "v", None), (None, "v", None), (None, "v", long), (8, "w", long), (8, "w", long), (9, evil, "only")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    got = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc_round_trip(df).collect()), key=str)
+    want = [(3, 1, "response", None), (3, 1, "revisit", 3), (3, 1, "revisit", 3), (None, 1, "revisit", 3), (2, 1, "response", None), (3, 1, "revisit", 2)]
+    want += [(None, 0, "response", None), (None, 0, "revisit", None), (8, len(long), "response", None), (8, len(long), "revisit", 8), (None, len(long), "revisit", 8), (9, 4, "response", None)]
+    assert got == sorted(want, key=str)
+    path = f"file://{tmp_path}/w"
+    write_warc(df, path, min_revisit_bytes=10**9)
+    read = read_warc(spark, path).collect()
+    assert len({r["name"] for r in read}) == len(pages) and sorted(bytes(r["payload"]) for r in read) == sorted((h or "").encode() for _, _, h in pages)
+    assert {r["uri"] for r in read if r["id"] == 9} == {"http://a/%0D%0AContent-Length:%203%0D%0A%0D%0Ax%20y%00%7F"}
