@@ -9,8 +9,9 @@ the tasks' counts give the offsets.
 
 Planning first fixes sets that dominate every alternative: a piece that nothing fits
 beside, a pair that fills a sequence, and a piece with its largest partner whenever no
-two or more pieces fit beside it with a greater sum.  Every length is tried, in
-descending order, until none gives a set any more; sets of three pieces are not tried.
+two or more pieces fit beside it with a greater sum.  Where no three pieces fit beside
+a piece, it is fixed with its best pair if any two others could trade places with that
+pair.  Every length is tried, in descending order, until none gives a set any more.
 What is left goes best-fit, in descending length.
 
 Null texts count as empty; every document has at least the separator, so an empty
@@ -73,7 +74,13 @@ def dominant(counts: Counter, capacity: int) -> Plan:
                     continue
                 partner = own[-1]
                 if two_between(counts, own, partner, room) or best_sum(counts, own, room) > partner:
-                    break
+                    pair = best_pair({s: counts[s] - (s == large) for s in own}, room)
+                    if pair is None:
+                        break
+                    pattern = tuple(sorted((large, *pair), reverse=True))
+                    fix(pattern, min(counts[s] // k for s, k in Counter(pattern).items()))
+                    found = True
+                    continue
                 # Fewer pieces only take sums away, so this holds while both lengths last.
                 fix((max(large, partner), min(large, partner)), counts[large] // 2 if partner == large else min(counts[large], counts[partner]))
                 found = True
@@ -89,6 +96,37 @@ def two_between(counts: Counter, sizes: list[int], least: int, room: int) -> boo
     return False
 
 
+def best_pair(left: dict[int, int], room: int) -> tuple[int, int] | None:
+    """The two of ``left`` (counts by size, each at most ``room``) that dominate all others in ``room``, if any do.
+
+    No three may fit.  The pair has the greatest sum and the largest piece, and no two others
+    that are both larger than its smaller one fit: then one of any two is no larger than
+    the pair's larger, and the other no larger than its smaller piece.
+    """
+    sizes = [s for s in sorted(left) if left[s] > 0]
+    few: list[int] = []
+    for s in sizes:
+        few += [s] * min(3 - len(few), left[s])
+    if len(few) < 2 or len(few) == 3 and sum(few) <= room:
+        return None
+    best, low, high = None, 0, len(sizes) - 1
+    while low <= high:
+        total = sizes[low] + sizes[high]
+        if total > room or low == high and left[sizes[low]] < 2:
+            high -= 1
+            continue
+        if best is None or total > sum(best):
+            best = (sizes[high], sizes[low])
+        low += 1
+    if best is None or best[0] != sizes[-1]:
+        return None
+    above: list[int] = []
+    for s in sizes:
+        if s > best[1]:
+            above += [s] * min(2 - len(above), left[s] - (s == best[0]))
+    return None if len(above) == 2 and sum(above) <= room else best
+
+
 def best_sum(counts: Counter, sizes: list[int], room: int) -> int:
     """The greatest sum, at most ``room``, of two or more pieces; by reachable sums as bits."""
     mask = (1 << (room + 1)) - 1
