@@ -70,6 +70,61 @@ def test_jaccard(spark, block, broadcast_ids):
     assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {i for i, w in want.items() if w[1] == i}
 
 
+def brute_components(texts):
+    sets = {i: shingles(t) for i, t in texts}
+    by = {}
+    for i, own in sets.items():
+        for x in own:
+            by.setdefault(x, []).append(i)
+    pairs = {(a, b) for ids in by.values() for a in ids for b in ids if a < b}
+    return sets, roots(sets, [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])])
+
+
+def test_jaccard_of_shared_shingles_stays_linear(spark, monkeypatch):
+    """One shingle that all short documents share brings them together once, not in the second order."""
+    from cordillera.llm import jaccard_join as module
+
+    rng = random.Random(2)
+    own = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = [(k, " ".join(["one", "two", "three", "four", "five", *own(rng.choice([2, 4, 9]))])) for k in range(400)]
+    texts += [(1000 + k, t + " end") for k, (_, t) in enumerate(texts[:40])]
+    divided = []
+    before = module._divided
+    monkeypatch.setattr(module, "_divided", lambda *x: divided.append(1) or before(*x))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    _, want = brute_components(texts)
+    got = {r[0]: r["component_id"] for r in jaccard_components(df, block=16).collect()}
+    assert got == want and not divided
+
+
+@pytest.mark.parametrize("block", [8, 24])
+def test_jaccard_divides_large_groups(spark, block):
+    """Templates that share nearly all shingles: prefixes cannot part them, cells and blocks must."""
+    rng = random.Random(6)
+    texts = []
+    for group in range(3):
+        base = [f"g{group}w{k}" for k in range(40)]
+        for k in range(90):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, 2, 3])):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(5)}"
+            texts.append((1000 * group + k, " ".join(copy)))
+    _, want = brute_components(texts)
+    got = {r[0]: r["component_id"] for r in jaccard_components(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), block=block).collect()}
+    assert got == want and len(set(want.values())) > 3
+
+
+def test_jaccard_rows_that_repeat_an_id(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(5, a), (5, b), (5, b + " end"), (None, b), (None, c), (None, c + " end"), (None, c + " end"), (3, a + " end"), (9, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(r[0]), r[1], str(r[2])) for r in jaccard_components(df).collect())
+    assert got == sorted([("5", 26, "3"), ("5", 26, "5"), ("5", 27, "5"), ("None", 26, "5"), ("None", 26, "None"), ("None", 27, "None"), ("None", 27, "None"), ("3", 27, "3"), ("9", 0, "9"), ("9", 0, "9")])
+    kept = sorted((str(r[0]), r[1] or "") for r in keep_one_of_each(df).collect())
+    assert len(kept) == 5 and [i for i, _ in kept] == ["3", "5", "9", "9", "None"] and kept[1][1].startswith("b0")
+    assert jaccard_components(df.limit(0)).collect() == [] and keep_one_of_each(df.limit(0)).collect() == []
+
+
 def test_jaccard_threshold_is_exact(spark):
     base = [f"w{k}" for k in range(18)]  # 14 shingles
     texts = [(1, " ".join(base[:15])), (2, " ".join(base[:12])), (3, " ".join(base[:11]))]  # 11, 8 and 7: 8/11 < 0.75 < 7/8
@@ -90,7 +145,7 @@ def near_vectors():
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("interval", [4096, 16])
+@pytest.mark.parametrize("interval", [None, 4096, 16])
 def test_embeddings(spark, interval):
     rows = near_vectors()
     ok = {i: np.array(v, float) for i, v in rows if v and len(v) == 12 and None not in v and np.isfinite(v).all() and any(v)}
@@ -188,3 +243,30 @@ def test_warc_rows_that_share_an_id(spark, tmp_path):
     read = read_warc(spark, path).collect()
     assert len({r["name"] for r in read}) == len(pages) and sorted(bytes(r["payload"]) for r in read) == sorted((h or "").encode() for _, _, h in pages)
     assert {r["uri"] for r in read if r["id"] == 9} == {"http://a/%0D%0AContent-Length:%203%0D%0A%0D%0Ax%20y%00%7F"}
+
+
+def test_embeddings_of_rows_that_repeat_an_id(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (5, [0.0, 1.0]), (None, [1.0, 0.01]), (None, [3.0, 3.0]), (None, [3.0, 3.1]), (4, [2.0, 0.0]), (None, None), (8, [1.0]), (8, None)]
+    got = sorted(map(str, map(tuple, embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect())))
+    want = [(5, 2, 4, False), (5, 1, 5, True), (5, 1, 5, True), (None, 2, 4, False), (None, 1, None, True), (None, 1, None, True), (4, 2, 4, True), (None, 0, None, True), (8, 0, 8, True), (8, 0, 8, True)]
+    assert got == sorted(map(str, want))
+
+
+def test_embeddings_over_several_intervals_and_cells(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((6, 3))
+    x = np.concatenate([c + rng.standard_normal((60, 3)) * 0.05 for c in centres]).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    want = roots(range(len(x)), list(zip(*(k.tolist() for k in np.nonzero(near)))))
+    got = {r[0]: (r[1], r[2]) for r in embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3), interval=9).collect()}
+    assert got == {i: (int(near[i].sum()), want[i]) for i in range(len(x))}
+
+
+def test_embeddings_keep_large_ids(spark):
+    big = 9_007_199_254_740_993
+    rows = [(big, [1.0, 0.0]), (big + 1, [1.0, 0.1]), (big + 2, [0.0, 1.0]), (-big, [1.0, 0.05])]
+    got = {r[0]: (r[1], r[2]) for r in embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {big: (2, -big), big + 1: (2, -big), big + 2: (0, big + 2), -big: (2, -big)}

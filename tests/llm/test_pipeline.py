@@ -49,3 +49,24 @@ def test_stages(spark):
     five = stages["best-fit packing"](spark, four, SF)
     assert {r["doc_id"] for r in five.collect()} == set(want)
     assert corpus_pipeline.run(spark, SF).count() == five.count()
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    labels = [(k, k % 2, k % 2) for k in range(40)]
+    words = [f"w{k}" for k in range(80)]
+    texts = [(k, " ".join([*words[k : k + 20], "good" if k % 2 else "BAD!!"])) for k in range(40)]
+    odd = [(100, None), (101, ""), (102, "x" * 300_000), (103, " ".join(words)), (103, " ".join(words)), (None, "w1 w2 w3 good"), (None, None), (104, " ".join(words + ["end"]))]
+    rows = [(i, t, "en", "s", len(t or ""), "c", 1.5) for i, t in texts + odd]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, id string, score double"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = table(spark, str(tmp_path), "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
+        docs = out
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() > 0
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}/none").collect() == []

@@ -129,6 +129,73 @@ def test_classifiers(spark, score, label, threshold):
     assert auc(*zip(*truth)) > 0.98
 
 
+def test_long_texts_count_like_short_ones(monkeypatch):
+    rng = random.Random(3)
+    text = " ".join(rng.choice(["Uno", "dos", "dos", "3.", "CUATRO", "日本", "x" * 40]) for _ in range(900))
+    whole_terms, whole_grams = quality.term_counts([text]), toxicity.presence([text])
+    monkeypatch.setattr(quality, "BATCH_CHARS", 200)
+    monkeypatch.setattr(toxicity, "BATCH_CHARS", 200)
+    assert (quality.term_counts([text]) == whole_terms).all()
+    assert sorted(toxicity.presence([text])[1].tolist()) == sorted(whole_grams[1].tolist())
+    assert list(toxicity.batches_of(["a" * 90, "b" * 300, "c", "d"], 100)) == [(0, ["a" * 90]), (1, ["b" * 300]), (2, ["c", "d"])]
+
+
+def test_quality_is_a_vote_of_all_neighbours(spark):
+    """Scores against a direct computation: every cosine with every labelled vector, sorted."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    sample = toxicity.labelled_sample(docs, labels, "quality", "doc_id", "text", 2_048)
+    share = toxicity.share_of_ones(labels, "quality", "doc_id")
+    space = quality.fit(sample, share)
+    sampled = space.labels.mean()
+    got = {r["doc_id"]: r["score"] for r in quality.score_quality(docs, labels).collect()}
+    for r in docs.where("doc_id % 7 = 3").collect():
+        v = space.weigh(quality.term_counts([r["text"]]))[0] @ space.projection
+        v = v / np.linalg.norm(v)
+        near = sorted(((-round(float(v @ u) * quality.STEPS), k) for k, u in enumerate(space.vectors)))[: quality.NEIGHBOURS]
+        votes = [(-s / quality.STEPS * (share / sampled if space.labels[k] else (1 - share) / (1 - sampled)), space.labels[k]) for s, k in near if -s / quality.STEPS >= quality.LEAST_SIMILARITY]
+        want = sum(w * y for w, y in votes) / sum(w for w, _ in votes) if votes else share
+        assert abs(got[r["doc_id"]] - want) < 1e-4
+
+
+def test_toxicity_is_a_sum_over_explicit_ngrams(spark):
+    """Scores against sets of n-grams made one by one, and weights against plain gradient steps' optimum."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    sample = toxicity.labelled_sample(docs, labels, "toxic", "doc_id", "text", 3_000)
+    model = toxicity.fit(sample, toxicity.share_of_ones(labels, "toxic", "doc_id"))
+    weights = dict(zip(model.columns.tolist(), model.weights.tolist()))
+
+    def grams_of(text):
+        padded = toxicity._GAP + " ".join(text.lower().split()) + toxicity._GAP
+        out = set()
+        for n in toxicity.ORDERS:
+            for k in range(len(padded) - n + 1):
+                total = 0
+                for j, c in enumerate(padded[k : k + n]):
+                    total = (total + ord(c) * int(toxicity._MULTIPLIERS[j])) & 0xFFFFFFFF
+                mixed = ((total ^ (total >> 15)) * (0x2C1B3C6D + 2 * n)) & 0xFFFFFFFF
+                out.add(mixed >> (32 - toxicity.HASH_BITS))
+        return out
+
+    rows = sample.orderBy("labelled_id", "y").collect()
+    held = [(grams_of(r["text"] or ""), r["y"]) for r in rows]
+    ones = sum(y for _, y in held)
+    zeros = len(held) - ones
+    p, q = Counter(g for s, y in held if y for g in s), Counter(g for s, y in held if not y for g in s)
+    chi2 = lambda g: len(held) * (p[g] * (zeros - q[g]) - q[g] * (ones - p[g])) ** 2 / max(1, (p[g] + q[g]) * (len(held) - p[g] - q[g]) * ones * zeros)
+    assert set(weights) == {g for g in p.keys() | q.keys() if chi2(g) >= toxicity.MIN_CHI2}
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, labels).collect()}
+    for r in docs.where("doc_id % 11 = 5").collect():
+        total = model.intercept + sum(weights.get(g, 0.0) for g in grams_of(r["text"] or ""))
+        assert abs(got[r["doc_id"]] - 1 / (1 + np.exp(-np.clip(total, -30, 30)))) < 1e-6
+
+
+@pytest.mark.parametrize("score", [toxicity.score_toxicity, quality.score_quality])
+def test_classifiers_on_rows_that_repeat_an_id(spark, score):
+    docs = spark.createDataFrame([(1, "good words"), (1, "good words"), (1, "other"), (2, "bad words"), (None, "x")], "doc_id long, text string").withColumn("labelled_id", __import__("pyspark.sql.functions", fromlist=["lit"]).lit("clash"))
+    labels = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (1, 0, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    assert len(score(docs, labels).collect()) == 5
+
+
 @pytest.mark.parametrize("score", [toxicity.score_toxicity, quality.score_quality])
 def test_classifiers_on_odd_rows(spark, score):
     docs = spark.createDataFrame([(i, t, "s", 0.5) for i, t in enumerate([None, "", "x" * 100_000, "good words here", "good words here", "\x00 😀"])], "doc_id long, text string, id string, score double")
@@ -168,13 +235,29 @@ def test_dominance_goes_past_the_largest_piece():
 
     rng = random.Random(5)
     past = 0
-    for _ in range(300):
-        capacity = rng.choice([12, 20, 31])
-        sizes = sorted((rng.randint(1, capacity) for _ in range(rng.randint(1, 9))), reverse=True)
+    for k in range(400):
+        large = k >= 300  # the optimum of more pieces is beyond brute force, but they leave more undecided
+        capacity = rng.choice([31, 64, 100] if large else [12, 20, 31])
+        sizes = sorted((rng.randint(1, capacity) for _ in range(40 if large else rng.randint(1, 9))), reverse=True)
         rest = Counter(sizes)
         plan = dominant(rest, capacity)
         fixed = sum(n for _, n in plan)
         assert Counter(s for pattern, n in plan for s in pattern * n) + rest == Counter(sizes) and all(sum(p) <= capacity for p, _ in plan)
-        assert fixed + fewest(sorted(rest.elements(), reverse=True), capacity) == fewest(sizes, capacity)
+        assert large or fixed + fewest(sorted(rest.elements(), reverse=True), capacity) == fewest(sizes, capacity)
         past += bool(rest) and any(max(p) < max(rest) and sum(p) < capacity for p, _ in plan)
     assert past
+
+
+def test_sets_of_three_keep_the_optimum(monkeypatch):
+    from cordillera.llm import packing
+
+    rng, triples = random.Random(11), 0
+    for _ in range(400):
+        capacity = rng.choice([20, 31, 47])
+        sizes = sorted((rng.randint(capacity // 5, capacity) for _ in range(rng.randint(3, 10))), reverse=True)
+        rest = Counter(sizes)
+        plan = packing.dominant(rest, capacity)
+        triples += sum(n for pattern, n in plan if len(pattern) == 3)
+        assert Counter(s for pattern, n in plan for s in pattern * n) + rest == Counter(sizes) and all(sum(p) <= capacity for p, _ in plan)
+        assert sum(n for _, n in plan) + fewest(sorted(rest.elements(), reverse=True), capacity) == fewest(sizes, capacity), sizes
+    assert triples
