@@ -16,6 +16,11 @@ MONTHS = {
 }
 
 
+def bound(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def month_number(name: Column) -> Column:
     table = F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair])
     return F.try_element_at(table, F.lower(name))
@@ -33,21 +38,29 @@ def partial_date(x: Column, as_of: str) -> Column:
     name with a year in either order. status: missing, valid or invalid; dates before
     1901 or after ``as_of`` are invalid.
     """
-    text = F.trim(x)
-    number = lambda pattern, k: F.regexp_extract(text, pattern, k)
     iso = r"^(\d{4})(?:[-/](\d{1,2})(?:[-/](\d{1,2})(?:[T ].*)?)?)?$"
     named, reverse = r"^([A-Za-z]+)[ ,]+(?:de )?(\d{4})$", r"^(\d{4})[ ,]+([A-Za-z]+)$"
     as_int = lambda c: F.when(c != "", c.cast("int"))
-    year = F.coalesce(as_int(number(iso, 1)), as_int(number(named, 2)), as_int(number(reverse, 1)))
-    month = F.coalesce(as_int(number(iso, 2)), month_number(number(named, 1)), month_number(number(reverse, 2)))
-    day = as_int(number(iso, 3))
-    whole = F.try_to_date(F.format_string("%04d-%02d-%02d", year, F.coalesce(month, F.lit(1)), F.coalesce(day, F.lit(1))), "yyyy-MM-dd")
-    wordy = text.rlike(named) & month_number(number(named, 1)).isNull() | text.rlike(reverse) & month_number(number(reverse, 2)).isNull()
-    good = whole.isNotNull() & (year >= 1901) & (whole <= F.lit(as_of).cast("date")) & ~wordy
-    precision = F.when(day.isNotNull(), "day").when(month.isNotNull(), "month").otherwise("year")
-    status = F.when(F.coalesce(text, F.lit("")) == "", "missing").when(good, "valid").otherwise("invalid")
-    keep = lambda c: F.when(good, c)
-    return F.struct(keep(year).alias("year"), keep(month).alias("month"), keep(day).alias("day"), keep(precision).alias("precision"), status.alias("status"))
+
+    def read(text: Column) -> Column:
+        number = lambda pattern, k: F.regexp_extract(text, pattern, k)
+        year = F.coalesce(as_int(number(iso, 1)), as_int(number(named, 2)), as_int(number(reverse, 1)))
+        name = F.concat(number(named, 1), number(reverse, 2))
+        month = F.coalesce(as_int(number(iso, 2)), month_number(name))
+        return F.struct(year.alias("y"), month.alias("m"), as_int(number(iso, 3)).alias("d"), (F.coalesce(text, F.lit("")) == "").alias("none"), ((name != "") & month.isNull()).alias("wordy"))
+
+    def judged(r: Column) -> Column:
+        whole = F.try_to_date(F.format_string("%04d-%02d-%02d", r["y"], F.coalesce(r["m"], F.lit(1)), F.coalesce(r["d"], F.lit(1))), "yyyy-MM-dd")
+        good = whole.isNotNull() & (r["y"] >= 1901) & (whole <= F.lit(as_of).cast("date")) & ~F.coalesce(r["wordy"], F.lit(False))
+        return F.struct(r["y"].alias("y"), r["m"].alias("m"), r["d"].alias("d"), r["none"].alias("none"), F.coalesce(good, F.lit(False)).alias("good"))
+
+    def said(r: Column) -> Column:
+        precision = F.when(r["d"].isNotNull(), "day").when(r["m"].isNotNull(), "month").otherwise("year")
+        status = F.when(r["none"], "missing").when(r["good"], "valid").otherwise("invalid")
+        keep = lambda c: F.when(r["good"], c)
+        return F.struct(keep(r["y"]).alias("year"), keep(r["m"]).alias("month"), keep(r["d"]).alias("day"), keep(precision).alias("precision"), status.alias("status"))
+
+    return bound(bound(bound(F.trim(x), read), judged), said)
 
 
 def dates_compatible(a: Column, b: Column) -> Column:
@@ -85,3 +98,30 @@ def years_in(x: Column, low: int = 1950, high: int = 2026) -> Column:
     """All plausible years of a text, in order."""
     found = F.transform(F.regexp_extract_all(x, F.lit(r"\b((?:19|20)\d{2})\b"), F.lit(1)), lambda y: y.cast("int"))
     return F.filter(found, lambda y: y.between(low, high))
+
+
+def utc_epoch(x: Column) -> Column:
+    """Seconds of an ISO date or time, UTC where it names no zone; null for anything else."""
+    text = F.trim(x)
+    iso = text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$")
+    zone = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & (F.length(text) > 10), F.lit("")).otherwise(F.when(F.length(text) > 10, F.lit("Z")).otherwise(F.lit("T00:00:00Z")))
+    return F.when(iso, F.unix_timestamp(F.try_to_timestamp(F.concat(F.regexp_replace(text, " ", "T"), zone))))
+
+
+def membership_epochs(x: Column) -> Column:
+    """struct(start, end) in UTC seconds of ``YYYY[/M] - YYYY[/M]`` or ``- Actual``; months end with their last day; -1 says unknown."""
+    form = r"(?i)(\d{4})(?:/(\d{1,2}))?\s*-\s*(?:(actual)|(\d{4})(?:/(\d{1,2}))?)"
+    part = lambda k: F.nullif(F.regexp_extract(x, form, k), F.lit(""))
+    number = lambda k, none: F.coalesce(part(k).cast("int"), F.lit(none))
+    day = lambda y, m: F.make_date(y, m, F.lit(1))
+    seconds = lambda date: F.unix_date(date).cast("long") * 86_400
+    start = seconds(day(number(1, 1970), number(2, 1)))
+    end = F.when(part(3).isNull(), seconds(F.last_day(day(number(4, 1970), number(5, 12)))))
+    found = x.rlike(form)
+    return F.struct(F.when(found, start).otherwise(-1).alias("start"), F.when(found, F.coalesce(end, F.lit(-1))).otherwise(-1).alias("end"))
+
+
+def partial_or_open(x: Column, as_of: str, tokens: tuple[str, ...] = ("actual", "actualidad", "en curso", "en marcha", "presente", "vigente")) -> Column:
+    """``partial_date`` with a fourth status: open, for words that say it goes on."""
+    is_open = F.coalesce(F.lower(F.trim(x)).isin(*tokens), F.lit(False))
+    return bound(partial_date(x, as_of), lambda d: F.struct(d["year"].alias("year"), d["month"].alias("month"), d["day"].alias("day"), d["precision"].alias("precision"), F.when(is_open, "open").otherwise(d["status"]).alias("status")))

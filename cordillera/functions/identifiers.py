@@ -103,3 +103,45 @@ def canonical_url(url: Column) -> Column:
     bare = F.regexp_replace(bare, r"([?&])utm_[^=&]*=[^&]*", "$1")
     bare = F.regexp_replace(F.regexp_replace(bare, "[?&]+$", ""), r"([?&])&+", "$1")
     return F.regexp_replace(F.regexp_replace(bare, r"^http://", "https://"), "/$", "")
+
+
+def strict_doi(x: Column) -> Column:
+    """A DOI as it should be written, never repaired: null for zero registrants, placeholders and query marks."""
+    form = r"(?i)^(?:(?:https?://)?(?:dx\.)?doi\.org/|doi\s*:\s*)?(10\.([0-9]{4,9})/(\S+))$"
+    part = lambda k: F.regexp_extract(F.trim(x), form, k)
+    good = F.trim(x).rlike(form) & ~part(2).rlike("^0+$") & ~part(1).rlike(r"[?#\x00]") & ~part(3).rlike(r"(?i)^(?:0+|none|null|n/?a|sin[-_]?doi)$")
+    return F.when(good, F.concat(F.lit(DOI_ROOT), F.lower(part(1))))
+
+
+def strict_isbn(x: Column) -> Column:
+    """An ISBN written with digits, X, spaces and hyphens only; 13 digits begin with 978 or 979."""
+    return F.when(x.rlike(r"^[0-9Xx\s-]+$") & ~digits_x(x).rlike("^0+$"), valid_isbn(x))
+
+
+def pair_codes(person: Column, product: Column) -> Column:
+    """struct(person, product) of a valid pair of codes, else null."""
+    good = person.rlike("^[0-9]{10}$") & (person != "0000000000") & product.rlike("^[0-9]{1,7}$")
+    return F.when(good, F.struct(person.alias("person"), product.alias("product")))
+
+
+def official_pair(pair: Column, products: Column) -> Column:
+    """Whether an official product id ends in the pair's two codes."""
+    tail = F.concat(F.lit("-"), pair["person"], F.lit("-"), pair["product"])
+    return F.coalesce(F.exists(products, lambda p: p.endswith(tail)), F.lit(False))
+
+
+#: Hosts of public profiles, and the query parameter and form of their ids.
+PROFILE_HOSTS = {"scopus": ("scopus.com", "authorId", r"^\d{8,12}$", "https://www.scopus.com/authid/detail.uri?authorId="), "scholar": ("scholar.google", "user", r"^[A-Za-z0-9_-]{8,20}$", "https://scholar.google.com/citations?user=")}
+
+
+def profile_link(label: Column, url: Column) -> Column:
+    """struct(source, id) of a public profile that can be checked, else null."""
+    name, host = F.lower(label), url_host(url)
+    says = lambda word, where: F.contains(name, F.lit(word)) | F.contains(host, F.lit(where))
+    out = F.when(says("orcid", "orcid.org"), F.struct(F.lit("orcid").alias("source"), valid_orcid(url).alias("id")))
+    for source, (where, key, form, root) in PROFILE_HOSTS.items():
+        own = url_parameter(url, key)
+        out = out.when(says(source, where), F.struct(F.lit(source).alias("source"), F.when(own.rlike(form) & ~own.rlike("^0+$"), F.concat(F.lit(root), own)).alias("id")))
+    for source in ("researchgate", "linkedin"):
+        out = out.when(says(source, f"{source}.com" if source == "linkedin" else "researchgate.net"), F.struct(F.lit(source).alias("source"), F.when(url.rlike("(?i)^https?:"), url).alias("id")))
+    return F.when(out["id"].isNotNull(), out)

@@ -32,6 +32,11 @@ def _accent_table() -> tuple[str, str]:
 ACCENTED, PLAIN = _accent_table()
 #: Labels that stand for no title.
 PLACEHOLDER_TITLES = ("sin titulo", "sin título", "no registra", "n/a", "na", "ninguno", "ninguna", "untitled", "-", ".")
+#: Work families by the normal text of their type.
+FAMILIES = {
+    "articulo de revista": "article", "publicaciones editoriales no especializadas": "editorial", "libro": "book", "capitulo de libro": "book_chapter",
+    "tesis de pregrado": "undergraduate_thesis", "tesis de posgrado": "graduate_thesis",
+}
 #: Particles that carry no identity in a name.
 NAME_STOP_TOKENS = ("de", "del", "la", "las", "los", "y", "the", "and", "of")
 
@@ -56,6 +61,26 @@ def normalize_title(x: Column) -> Column:
     return F.trim(F.regexp_replace(norm_text(x), "[^a-z0-9]+", " "))
 
 
+def label_key(x: Column, aliases: dict[str, str]) -> Column:
+    """The exact key of a label after its aliases: a final colon does not count."""
+    bare = exact_key(F.regexp_replace(collapse_spaces(x), r"[ :]+$", ""))
+    if not aliases:
+        return bare
+    table = F.create_map(*[F.lit(v) for pair in aliases.items() for v in pair])
+    return F.coalesce(exact_key(F.try_element_at(table, bare)), bare)
+
+
+def path_labels(x: Column) -> Column:
+    """Labels of a coded hierarchy: what stands between ``CODE: `` marks."""
+    return F.filter(F.transform(F.split(x, r"(?:^|\s)[A-Z0-9]+:\s+"), lambda t: F.trim(t)), lambda t: t != "")
+
+
+def observation_id(section: Column, kind: Column) -> Column:
+    """24 hexadecimal digits of a section's and a type's keys as a JSON pair."""
+    quoted = lambda k: F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(k, r"\\", r"\\\\"), '"', r'\\"'), F.lit('"'))
+    return stable_id(F.concat(F.lit("["), quoted(section), F.lit(", "), quoted(kind), F.lit("]")))
+
+
 def exact_key(x: Column) -> Column:
     """Case and white space do not count, accents do."""
     return F.lower(collapse_spaces(x))
@@ -86,6 +111,25 @@ def is_generic_title(key: Column) -> Column:
     return (F.length(key) < 20) | (F.size(tokens(key, 2)) < 4)
 
 
+@F.pandas_udf(T.StringType())
+def html_norm_text(values: pd.Series) -> pd.Series:
+    """Entities resolved, no accents in any script, lower case, single spaces."""
+
+    def one(x):
+        if x is None:
+            return None
+        x = unicodedata.normalize("NFKD", html.unescape(x).replace("\xa0", " "))
+        return " ".join("".join(c for c in x if not unicodedata.combining(c)).lower().split())
+
+    return values.map(one, na_action=None)
+
+
+def is_repeated_title(value: Column, title: Column, least: float = 0.85) -> Column:
+    """A text of six tokens or more that is nearly the work's own title."""
+    a, b = normalize_title(value), normalize_title(title)
+    return F.coalesce((F.size(F.split(a, " ")) >= 6) & (b != "") & (sequence_ratio(a, b) >= least), F.lit(False))
+
+
 def is_placeholder(x: Column) -> Column:
     return exact_key(x).isin(*PLACEHOLDER_TITLES)
 
@@ -132,6 +176,53 @@ def all_caps_to_title(x: Column) -> Column:
     return F.array_join(F.transform(words, lambda w: F.when((w == F.upper(w)) & (F.length(w) > 1), F.initcap(w)).otherwise(w)), " ")
 
 
+def letter_runs_capitalised(x: Column) -> Column:
+    """Each run of letters capitalised, also after apostrophes and hyphens."""
+    runs = F.regexp_extract_all(F.lower(collapse_spaces(x)), F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
+    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, 2, 1_000_000))), "")
+
+
+def joined_fragments(parts: Column) -> Column:
+    """Lines of a cell as one text: a hyphen that parts a word of two letters or more at a line's end goes."""
+
+    def add(text: Column, part: Column) -> Column:
+        last = F.regexp_extract(text, r"(\S*)$", 1)
+        parted = last.rlike(r"^[^-].*\p{L}-$") & part.rlike(r"^\p{L}")
+        joined = F.concat(F.regexp_replace(text, "-$", ""), part)
+        return F.when(part == "", text).when(text == "", part).when(parted, joined).otherwise(F.concat_ws(" ", text, part))
+
+    clean = F.transform(parts, lambda p: collapse_spaces(F.coalesce(p, F.lit(""))))
+    return F.aggregate(clean, F.lit(""), add)
+
+
+def type_family(x: Column, families: dict[str, str]) -> Column:
+    """The family of a type label: listed, a directed work, or the label's normal text."""
+    key = norm_text(x)
+    table = F.create_map(*[F.lit(v) for pair in families.items() for v in pair])
+    return F.coalesce(F.try_element_at(table, key), F.when(key.startswith("trabajos dirigidos/tutorias"), "directed_work"), F.nullif(key, F.lit("")), F.lit("unknown"))
+
+
+def ascii_key(x: Column) -> Column:
+    """ASCII letters and digits alone; other scripts vanish."""
+    return F.trim(F.regexp_replace(F.lower(strip_accents(collapse_spaces(x))), "[^a-z0-9]+", " "))
+
+
+def unicode_title_key(x: Column) -> Column:
+    """Letters and digits of any script, everything else one space; accents do not count."""
+    return F.trim(F.regexp_replace(norm_text(x), r"[^\p{L}\p{N}_]+", " "))
+
+
+def unquoted(x: Column) -> Column:
+    """A name without quotation marks around it."""
+    return F.regexp_replace(collapse_spaces(x), "^[\"'\u201c\u201d ]+|[\"'\u201c\u201d ]+$", "")
+
+
+def null_token_blank(x: Column, tokens: tuple[str, ...] = ("no registra", "no disponible", "null", "none", "n/a")) -> Column:
+    """The text, or null where it says that there is none."""
+    value = collapse_spaces(x)
+    return F.when((value != "") & ~ascii_key(value).isin(*[t.replace("/", " ") for t in tokens]), value)
+
+
 def split_person_name(x: Column) -> Column:
     """first and last names: the last two words are last names, of two or three words the last one or two."""
     w = F.filter(F.split(collapse_spaces(x), " "), lambda t: t != "")
@@ -156,7 +247,7 @@ def yes_no(x: Column) -> Column:
 
 def rank_label(x: Column) -> Column:
     """Leading group rank A1, A, B, C, D; 00 means recognised."""
-    found = F.regexp_extract(F.upper(F.trim(x)), r"^(A1|A|B|C|D|00)(?![A-Z0-9])", 1)
+    found = F.regexp_extract(F.upper(F.trim(x)), r"^(A1|A|B|C|D|00)(?![\p{L}0-9])", 1)
     return F.when(found == "00", "Reconocido").when(found != "", found)
 
 

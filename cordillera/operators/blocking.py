@@ -62,12 +62,3 @@ def block_pairs_or_members(rows: DataFrame, id_col: str, keys: Column, most: int
     pairs = left.join(right, "k").where("left_id < right_id").select("left_id", "right_id").distinct()
     pairs = pairs.select(F.lit("pair").alias("kind"), F.lit(None).cast("string").alias("block"), F.lit(None).cast("long").alias("size"), "left_id", "right_id")
     return pairs.unionByName(many.select(F.lit("oversized").alias("kind"), F.col("k").alias("block"), F.col("n").alias("size"), F.col("least").alias("left_id"), F.col("id").alias("right_id")))
-
-
-def edit_pairs(values: DataFrame, value: str, block: Column, most: int) -> DataFrame:
-    """Pairs of different values in one block whose edit distance is ``most`` or less."""
-    keyed = values.select(F.col(value).alias("v"), block.alias("b")).distinct()
-    left, right = keyed.select(F.col("v").alias("left_value"), "b"), keyed.select(F.col("v").alias("right_value"), "b")
-    pairs = left.join(right, "b").where("left_value < right_value")
-    distance = F.levenshtein("left_value", "right_value", most)
-    return pairs.select("left_value", "right_value", distance.alias("distance")).where("distance >= 0").distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -52,17 +53,18 @@ def link(products: DataFrame, graph: DataFrame, keys: list[str], owners: tuple[s
 
 
 def bracketing(targets: DataFrame, facts: DataFrame, key: str, target_time: str, fact_time: str, value: str) -> DataFrame:
-    """Value at a time: the exact one, else the nearest before and after if they agree; never beyond the ends."""
-    f = facts.select(F.col(key).alias("__k"), F.col(fact_time).alias("__t"), F.col(value).alias("__v"))
-    joined = targets.join(f, targets[key] == f["__k"], "left")
-    t = F.col(target_time)
-    pick = lambda best, cond: best(F.when(cond, F.col("__v")), F.when(cond, F.struct("__t", "__v")))
-    out = joined.groupBy(*targets.columns).agg(
-        F.min(F.when(F.col("__t") == t, F.col("__v"))).alias("__exact"),
-        pick(F.max_by, F.col("__t") < t).alias("__before"),
-        pick(F.min_by, F.col("__t") > t).alias("__after"),
-    )
-    return out.select(*targets.columns, F.coalesce("__exact", F.when(F.col("__before") == F.col("__after"), F.col("__after"))).alias(value))
+    """Value at a time: the exact one, else the nearest before and after if they agree; never beyond the ends.
+
+    Targets and facts of a key lie on one line in order of time and each looks back along it,
+    once either way, so that their numbers add and do not multiply.
+    """
+    points = targets.select(F.col(key).alias("__k"), F.col(target_time).alias("__t")).distinct().select("*", F.lit(None).cast(facts.schema[value].dataType).alias("__v"))
+    line = points.unionByName(facts.select(F.col(key).alias("__k"), F.col(fact_time).alias("__t"), F.col(value).alias("__v")))
+    line = line.groupBy("__k", "__t").agg(F.min("__v").alias("__v"))
+    back = lambda order: F.last("__v", ignorenulls=True).over(W.partitionBy("__k").orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    line = line.withColumn("__before", back(F.col("__t"))).withColumn("__after", back(F.col("__t").desc()))
+    found = line.select("__k", "__t", F.coalesce("__v", F.when(F.col("__before") == F.col("__after"), F.col("__after"))).alias(value))
+    return targets.join(found, (targets[key] == found["__k"]) & (targets[target_time] == found["__t"]), "left").select(*[targets[c] for c in targets.columns], value)
 
 
 def enrich_and_standalone(graph: DataFrame, links: DataFrame, products: DataFrame) -> DataFrame:

@@ -35,11 +35,8 @@ def measured_products(rows: DataFrame) -> DataFrame:
     )
 
 
-def link_sides(spark: SparkSession, folder: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Products (orders ending in 1) and graph entities (ending in 0), keyed by title and year.
-
-    If ``whole``, every order is on one side: closed ones (status F) are products, all others entities.
-    """
+def link_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Products (closed orders, status F) and graph entities (all others), keyed by title and year."""
     parts = table(spark, folder, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("title"))
     rows = measurement_rows(spark, folder).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.select(F.col("o_orderkey"), "o_orderstatus", "title", F.year("l_shipdate").alias("year"), "o_custkey", "l_suppkey")
@@ -49,17 +46,16 @@ def link_sides(spark: SparkSession, folder: str, whole: bool = False) -> tuple[D
         out = own.groupBy("o_orderkey", "title", "year").agg(F.collect_set("o_custkey").alias(owners), F.collect_set("l_suppkey").alias(groups))
         return out.select(F.concat_ws("|", F.col("o_orderkey").cast("string"), "title", F.col("year").cast("string")).alias(name), "title", "year", owners, groups)
 
-    digit, closed = F.col("o_orderkey") % 10, F.col("o_orderstatus").eqNullSafe("F")
-    product, entity = (closed, ~closed) if whole else (digit == 1, digit == 0)
-    return side(product, "product_id", "owners", "groups"), side(entity, "entity_id", "entity_owners", "entity_groups")
+    closed = F.col("o_orderstatus").eqNullSafe("F")
+    return side(closed, "product_id", "owners", "groups"), side(~closed, "entity_id", "entity_owners", "entity_groups")
 
 
-def linked_products(spark: SparkSession, folder: str, most: int = 100, whole: bool = False) -> DataFrame:
-    products, graph = link_sides(spark, folder, whole)
+def linked_products(spark: SparkSession, folder: str, most: int = 100) -> DataFrame:
+    products, graph = link_sides(spark, folder)
     return link(products, graph, ["title", "year"], ("owners", "entity_owners"), ("groups", "entity_groups"), most)
 
 
-def materialized(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
+def materialized(spark: SparkSession, folder: str) -> DataFrame:
     """Graph entities enriched by their products, and products that stand alone."""
-    products, graph = link_sides(spark, folder, whole)
-    return enrich_and_standalone(graph, linked_products(spark, folder, whole=whole), products)
+    products, graph = link_sides(spark, folder)
+    return enrich_and_standalone(graph, linked_products(spark, folder), products)

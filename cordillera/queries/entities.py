@@ -54,7 +54,7 @@ def constraint_components(spark, d):
 
 @query("""
     SELECT p_brand, count(*) AS n, CASE WHEN count(*) = 1 OR max(p_size % 3) > 0 THEN arg_min(p_partkey, (-(p_size % 3), p_partkey))::VARCHAR
-           ELSE sha256(array_to_string(list_sort(list(p_partkey::VARCHAR)), '|')) END AS canonical_id
+           ELSE sha256(count(*) || '|' || bit_xor(('0x' || substr(sha256(p_partkey::VARCHAR), 1, 15))::BIGINT) || '|' || bit_xor(('0x' || substr(sha256(p_partkey::VARCHAR), 16, 15))::BIGINT)) END AS canonical_id
     FROM part GROUP BY p_brand""")
 def canonical_ids(spark, d):
     return entities.canonical_ids(table(spark, d, "part").withColumn("priority", F.col("p_size") % 3), "p_brand", "p_partkey", "priority")
@@ -77,26 +77,21 @@ def complete_shape(spark, d):
     return entities.complete_shape(rows, schema)
 
 
+#: Two edits at most leave the ratio's matches as many as the longer text has characters, less the edits.
 _SUFFIX = """
-    v AS (SELECT DISTINCT p_brand AS prefix, lower(replace(p_name, ' ', '.')) || '.' || lower(p_type) || CASE WHEN p_size % 2 = 0 THEN '.' || p_size ELSE '' END AS suffix, substr(p_name, 1, 3) AS b FROM part),
-    g AS (SELECT prefix, b FROM v GROUP BY ALL HAVING count(*) BETWEEN 2 AND 100),
-    k AS (SELECT * FROM v SEMI JOIN g USING (prefix, b)),
+    v AS (SELECT DISTINCT p_brand AS prefix, lower(replace(p_name, ' ', '.')) || '.' || lower(p_type) || CASE WHEN p_size % 2 = 0 THEN '.' || p_size % 10 ELSE '' END AS suffix FROM part),
     q AS (SELECT x.prefix, x.suffix AS l, y.suffix AS r, CASE WHEN length(x.suffix) <= length(y.suffix) THEN x.suffix ELSE y.suffix END AS s, CASE WHEN length(x.suffix) <= length(y.suffix) THEN y.suffix ELSE x.suffix END AS g
-          FROM k x JOIN k y ON x.prefix = y.prefix AND x.b = y.b AND x.suffix < y.suffix),
+          FROM v x JOIN v y ON x.prefix = y.prefix AND x.suffix < y.suffix),
     w AS (SELECT DISTINCT prefix, l AS left_suffix, r AS right_suffix,
                  CASE WHEN starts_with(g, s) AND length(s) >= 8 AND length(s) < length(g) AND substr(g, length(s) + 1, 1) IN ('/', '.', '-') THEN 'truncation'
-                      WHEN levenshtein(l, r) <= 2 AND length(s) >= 8 THEN 'edit' END AS how FROM q)"""
-
-
-def _suffix_values(spark, d):
-    tail = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("."), F.col("p_size").cast("string"))).otherwise("")
-    suffix = F.concat(F.lower(F.translate("p_name", " ", ".")), F.lit("."), F.lower("p_type"), tail)
-    return table(spark, d, "part").select(F.col("p_brand").alias("prefix"), suffix.alias("suffix"), "p_name")
+                      WHEN levenshtein(l, r) <= 2 AND length(s) >= 8 AND 2.0 * (length(g) - levenshtein(l, r)) / (length(l) + length(r)) >= 0.9 THEN 'edit' END AS how FROM q)"""
 
 
 def _suffixes(spark, d):
-    values = _suffix_values(spark, d)
-    return reconcile.similar_pairs(values, "prefix", "suffix", F.substring("p_name", 1, 3))
+    tail = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("."), (F.col("p_size") % 10).cast("string"))).otherwise("")
+    suffix = F.concat(F.lower(F.translate("p_name", " ", ".")), F.lit("."), F.lower("p_type"), tail)
+    values = table(spark, d, "part").select(F.col("p_brand").alias("prefix"), suffix.alias("suffix"))
+    return reconcile.similar_pairs(values, "prefix", "suffix")
 
 
 @query(f"WITH {_SUFFIX} SELECT * FROM w WHERE how IS NOT NULL")
@@ -104,12 +99,6 @@ def similar_identifiers(spark, d):
     return _suffixes(spark, d)
 
 
-@query(f"""WITH {_SUFFIX} SELECT prefix, b AS block, size, suffix FROM v JOIN (SELECT prefix, b, count(*) AS size FROM v GROUP BY ALL HAVING count(*) > 100) USING (prefix, b)""")
-def oversized_identifiers(spark, d):
-    """What similar_identifiers and reconcile_decisions make no pairs of."""
-    return reconcile.oversized_groups(_suffix_values(spark, d), "prefix", "suffix", F.substring("p_name", 1, 3))
-
-
 @query(f"""WITH {_SUFFIX},
     c AS (SELECT DISTINCT suffix, CASE length(suffix) % 3 WHEN 0 THEN 'verified' ELSE 'rejected' END AS st FROM v WHERE length(suffix) % 5 <> 0),
     j AS (SELECT left_suffix AS l, right_suffix AS r, a.st AS sa, b.st AS sb FROM (SELECT DISTINCT left_suffix, right_suffix FROM w WHERE how IS NOT NULL) p LEFT JOIN c a ON p.left_suffix = a.suffix LEFT JOIN c b ON p.right_suffix = b.suffix)

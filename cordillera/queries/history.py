@@ -58,9 +58,9 @@ def choose_title(spark, d):
     SELECT l_partkey, count(DISTINCT f) AS "values",
            CASE count(DISTINCT f) WHEN 0 THEN 'missing' WHEN 1 THEN 'consistent' ELSE 'conflict' END AS status,
            CASE WHEN count(DISTINCT f) = 1 THEN min(f) END AS value
-    FROM (SELECT l_partkey, CASE WHEN l_linenumber = 1 THEN l_returnflag END AS f FROM lineitem) GROUP BY l_partkey""")
+    FROM (SELECT l_partkey, CASE WHEN l_linestatus = 'F' THEN l_returnflag END AS f FROM lineitem) GROUP BY l_partkey""")
 def field_consensus(spark, d):
-    rows = table(spark, d, "lineitem").select("l_partkey", F.when(F.col("l_linenumber") == 1, F.col("l_returnflag")).alias("f"))
+    rows = table(spark, d, "lineitem").select("l_partkey", F.when(F.col("l_linestatus") == "F", F.col("l_returnflag")).alias("f"))
     return aggregates.consensus(rows, ["l_partkey"], "f")
 
 

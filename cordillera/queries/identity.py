@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import blocking, components, linkage, merge
+from ..operators import blocking, components, linkage, merge, reconcile
 from ..sources.tables import table
 from .scalar import NORM
 
@@ -36,19 +36,6 @@ def oversized_blocks(spark, d):
     return blocking.oversized_blocks(rows, ["l_suppkey", "ship_year"], 90)
 
 
-@query(rf"""
-    WITH t AS (SELECT doc_id, list_distinct(list_filter(string_split({NORM.format(x="split_part(text, chr(10), 1)")}, ' '), lambda w: length(w) > 5)) AS ts FROM documents),
-    w AS (SELECT doc_id, unnest(ts) AS w FROM t),
-    top AS (SELECT doc_id, w FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(w) DESC, w) <= 3),
-    k AS (SELECT DISTINCT a.doc_id, a.w || ' ' || b.w AS k FROM top a JOIN top b ON a.doc_id = b.doc_id AND a.w < b.w),
-    g AS (SELECT k FROM k GROUP BY k HAVING count(*) BETWEEN 2 AND 100)
-    SELECT DISTINCT a.doc_id AS left_id, b.doc_id AS right_id
-    FROM k a JOIN k b ON a.k = b.k AND a.doc_id < b.doc_id WHERE a.k IN (SELECT k FROM g)""")
-def blocking_token_pairs(spark, d):
-    tokens = text.tokens(text.normalize_title(F.substring_index("text", "\n", 1)), 5)
-    return blocking.block_pairs(table(spark, d, "documents"), "doc_id", blocking.token_pair_keys(tokens), 100)
-
-
 @query(rf"""
     WITH d AS (SELECT doc_id, {NORM.format(x="split_part(text, chr(10), 1)")} AS t FROM documents),
     w AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split(t, ' '), lambda w: w <> ''))) AS w FROM d),
@@ -58,7 +45,7 @@ def blocking_token_pairs(spark, d):
     SELECT DISTINCT 'pair' AS kind, NULL::VARCHAR AS block, NULL::BIGINT AS size, a.doc_id AS left_id, b.doc_id AS right_id
     FROM k a JOIN k b ON a.k = b.k AND a.doc_id < b.doc_id WHERE a.k IN (SELECT k FROM g WHERE n <= 100)
     UNION ALL SELECT 'oversized', sha256(k), n, least, doc_id FROM k JOIN g USING (k) WHERE n > 100""")
-def blocking_all_titles(spark, d):
+def blocking_token_pairs(spark, d):
     """Titles by their three longest tokens of any length and as a whole; blocks beyond the bound come as members."""
     keys = blocking.title_keys(text.normalize_title(F.substring_index("text", "\n", 1)))
     out = blocking.block_pairs_or_members(table(spark, d, "documents"), "doc_id", keys, 100)
@@ -66,12 +53,12 @@ def blocking_all_titles(spark, d):
 
 
 @query("""
-    WITH n AS (SELECT DISTINCT p_name || ' ' || p_type AS v, substr(p_name, 1, 2) AS b FROM part)
-    SELECT DISTINCT x.v AS left_value, y.v AS right_value, levenshtein(x.v, y.v)::INTEGER AS distance
-    FROM n x JOIN n y ON x.b = y.b AND x.v < y.v WHERE levenshtein(x.v, y.v) <= 4""")
+    WITH n AS (SELECT DISTINCT p_name || ' ' || p_type AS v FROM part)
+    SELECT x.v AS left_value, y.v AS right_value, levenshtein(x.v, y.v)::INTEGER AS distance FROM n x JOIN n y ON x.v < y.v WHERE levenshtein(x.v, y.v) <= 4""")
 def edit_distance_pairs(spark, d):
-    rows = table(spark, d, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("v"), "p_name")
-    return blocking.edit_pairs(rows, "v", F.substring("p_name", 1, 2), 4)
+    """All pairs of different names within four edits, whatever they begin with."""
+    rows = table(spark, d, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("v"))
+    return reconcile.near_pairs(rows, [], "v", 4)
 
 
 @query(f"""

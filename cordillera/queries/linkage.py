@@ -22,13 +22,14 @@ def query(sql: str | None):
     return add
 
 
-_SIDES = """
-    r AS (SELECT o_orderkey, p_name || ' ' || p_brand AS title, year(l_shipdate)::INTEGER AS year, o_custkey, l_suppkey
+#: Closed orders (status F) are products, all others entities: each order is on one of the sides.
+_WHOLE = """
+    r AS (SELECT o_orderkey, o_orderstatus, p_name || ' ' || p_brand AS title, year(l_shipdate)::INTEGER AS year, o_custkey, l_suppkey
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
     p AS (SELECT o_orderkey || '|' || title || '|' || year AS product_id, title, year, list(DISTINCT o_custkey) AS o, list(DISTINCT l_suppkey) AS g
-          FROM r WHERE o_orderkey % 10 = 1 GROUP BY o_orderkey, title, year),
+          FROM r WHERE o_orderstatus IS NOT DISTINCT FROM 'F' GROUP BY o_orderkey, title, year),
     e AS (SELECT o_orderkey || '|' || title || '|' || year AS entity_id, title, year, list(DISTINCT o_custkey) AS eo, list(DISTINCT l_suppkey) AS eg
-          FROM r WHERE o_orderkey % 10 = 0 GROUP BY o_orderkey, title, year),
+          FROM r WHERE o_orderstatus IS DISTINCT FROM 'F' GROUP BY o_orderkey, title, year),
     s AS (SELECT title, year, count(*) AS n FROM e GROUP BY ALL),
     a AS (SELECT product_id, count(*) AS k, min(entity_id) AS entity_id,
                  min(CASE WHEN list_has_any(o, eo) AND list_has_any(g, eg) THEN 'owner_group' WHEN list_has_any(o, eo) THEN 'owner' ELSE 'group' END) AS rule
@@ -38,12 +39,12 @@ _SIDES = """
               FROM p LEFT JOIN s USING (title, year) LEFT JOIN a USING (product_id))"""
 
 
-@query(f"WITH {_SIDES} SELECT * FROM links")
+@query(f"WITH {_WHOLE} SELECT * FROM links")
 def link_products(spark, d):
     return measurements.linked_products(spark, d)
 
 
-@query(f"""WITH {_SIDES}
+@query(f"""WITH {_WHOLE}
     SELECT e.entity_id AS id, 'graph' AS origin, count(l.product_id) AS official_products
     FROM e LEFT JOIN (SELECT * FROM links WHERE status = 'linked') l ON e.entity_id = l.entity_id GROUP BY 1
     UNION ALL SELECT product_id, 'standalone', 1 FROM links WHERE status <> 'linked'""")
@@ -51,29 +52,6 @@ def enrich_and_standalone(spark, d):
     return measurements.materialized(spark, d)
 
 
-#: The two queries above see the orders ending in 0 and 1; here each order is on one of the sides.
-_WHOLE = """
-    r AS (SELECT o_orderkey, o_orderstatus, p_name || ' ' || p_brand AS title, year(l_shipdate)::INTEGER AS year, o_custkey, l_suppkey
-          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
-    p AS (SELECT o_orderkey || '|' || title || '|' || year AS product_id, title, year, list(DISTINCT o_custkey) AS o, list(DISTINCT l_suppkey) AS g
-          FROM r WHERE o_orderstatus IS NOT DISTINCT FROM 'F' GROUP BY o_orderkey, title, year),
-    e AS (SELECT o_orderkey || '|' || title || '|' || year AS entity_id, title, year, list(DISTINCT o_custkey) AS eo, list(DISTINCT l_suppkey) AS eg
-          FROM r WHERE o_orderstatus IS DISTINCT FROM 'F' GROUP BY o_orderkey, title, year),""" + _SIDES[_SIDES.index("\n    s AS (") :]
-
-
-@query(f"WITH {_WHOLE} SELECT * FROM links")
-def link_all_products(spark, d):
-    return measurements.linked_products(spark, d, whole=True)
-
-
-@query(f"""WITH {_WHOLE}
-    SELECT e.entity_id AS id, 'graph' AS origin, count(l.product_id) AS official_products
-    FROM e LEFT JOIN (SELECT * FROM links WHERE status = 'linked') l ON e.entity_id = l.entity_id GROUP BY 1
-    UNION ALL SELECT product_id, 'standalone', 1 FROM links WHERE status <> 'linked'""")
-def enrich_all_and_standalone(spark, d):
-    return measurements.materialized(spark, d, whole=True)
-
-
 @query("""
     WITH f AS (SELECT o_custkey AS k, year(o_orderdate)::INTEGER AS y, min(o_orderpriority) AS v FROM orders GROUP BY ALL),
     t AS (SELECT c_custkey, y::INTEGER AS year FROM customer, range(1993, 2001) r(y))

@@ -103,17 +103,19 @@ def url_identifiers(spark, d):
     return table(spark, d, "pages").select("page_id", identifiers.url_host(url).alias("host"), identifiers.url_parameter(url, "page").alias("page"), identifiers.canonical_url(url).alias("canonical"))
 
 
-@query("SELECT o_orderkey, lpad(o_orderkey::VARCHAR, 10, '0') AS code, epoch(o_orderdate + INTERVAL 5 HOUR)::BIGINT AS local_epoch FROM orders WHERE o_orderkey > 0")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey <> 0 THEN lpad(o_orderkey::VARCHAR, 10, '0') END AS code, epoch(o_orderdate + INTERVAL 5 HOUR)::BIGINT AS local_epoch FROM orders")
 def person_codes_and_epochs(spark, d):
-    rows = table(spark, d, "orders").where("o_orderkey > 0")
+    rows = table(spark, d, "orders")
     return rows.select("o_orderkey", identifiers.person_code(F.col("o_orderkey")).alias("code"), dates.local_epoch(F.col("o_orderdate")).alias("local_epoch"))
 
 
 @query("""
     SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m') AS raw,
-           year(l_shipdate)::INTEGER AS year, month(l_shipdate)::INTEGER AS month, 'month' AS "precision"
-    FROM lineitem WHERE l_shipdate < DATE '2000-01-01'""")
+           CASE WHEN l_shipdate < DATE '2000-01-01' THEN year(l_shipdate) END::INTEGER AS year, CASE WHEN l_shipdate < DATE '2000-01-01' THEN month(l_shipdate) END::INTEGER AS month,
+           CASE WHEN l_shipdate < DATE '2000-01-01' THEN 'month' END AS "precision", CASE WHEN l_shipdate < DATE '2000-01-01' THEN 'valid' ELSE 'invalid' END AS status
+    FROM lineitem""")
 def partial_dates(spark, d):
-    rows = table(spark, d, "lineitem").where("l_shipdate < date '2000-01-01'").select("l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyy-MM").alias("raw"))
-    rows = rows.withColumn("p", dates.partial_date(F.col("raw"), "2026-01-01"))
-    return rows.select("l_orderkey", "l_linenumber", "raw", "p.year", "p.month", "p.precision")
+    """Months up to the end of 1999; what lies later is invalid."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyy-MM").alias("raw"))
+    rows = rows.withColumn("p", dates.partial_date(F.col("raw"), "1999-12-31"))
+    return rows.select("l_orderkey", "l_linenumber", "raw", "p.year", "p.month", "p.precision", "p.status")

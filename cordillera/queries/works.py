@@ -43,19 +43,6 @@ def materialized_works(spark, d):
     return out.select("component", "occurrences", F.sha2("title", 256).alias("title_hash"), "year", "identifiers", "rule", "work_id")
 
 
-@query("""
-    WITH c AS (SELECT DISTINCT l_partkey, l_orderkey, l_returnflag || l_linestatus AS k FROM lineitem WHERE l_partkey % 5 <> 0 OR l_linenumber > 3),
-    s AS (SELECT l_partkey, l_orderkey, list_sort(list(k)) AS names FROM c GROUP BY ALL),
-    v AS (SELECT l_partkey, names, count(*) AS n FROM s GROUP BY ALL),
-    o AS (SELECT l_partkey, sum(n)::BIGINT AS claims, count(*) AS versions, arg_max(names, (len(names), array_to_string(names, '|'))) AS widest, len(list_distinct(flatten(list(names)))) AS e FROM v GROUP BY 1),
-    x AS (SELECT *, CASE WHEN claims = 1 THEN 'single' WHEN versions = 1 THEN 'consistent' WHEN len(widest) = e THEN 'combined' ELSE 'conflict' END AS status FROM o)
-    SELECT l_partkey, claims, status, CASE WHEN status <> 'conflict' THEN array_to_string(widest, '|') END AS authors FROM x""")
-def authorship_status(spark, d):
-    """Parts as works, orders as occurrences, flags as names."""
-    rows = table(spark, d, "lineitem").where("l_partkey % 5 <> 0 or l_linenumber > 3").select("l_partkey", "l_orderkey", F.concat("l_returnflag", "l_linestatus").alias("k"))
-    return works.authorship(rows, "l_partkey", "l_orderkey", "k")
-
-
 @query("""
     WITH c AS (SELECT DISTINCT l_partkey, l_orderkey, CASE WHEN l_returnflag <> 'N' THEN l_returnflag || l_linestatus END AS k FROM lineitem),
     s AS (SELECT l_partkey, l_orderkey, list_sort(list(k) FILTER (k IS NOT NULL)) AS names FROM c GROUP BY ALL),
@@ -64,8 +51,8 @@ def authorship_status(spark, d):
     x AS (SELECT *, CASE WHEN claims = 1 THEN 'single' WHEN versions = 1 THEN 'consistent' WHEN len(widest) = e THEN 'combined' ELSE 'conflict' END AS status FROM o)
     SELECT p.l_partkey, coalesce(claims, 0) AS claims, coalesce(status, 'missing') AS status, CASE WHEN status <> 'conflict' THEN array_to_string(widest, '|') END AS authors
     FROM (SELECT DISTINCT l_partkey FROM lineitem) p LEFT JOIN x ON p.l_partkey = x.l_partkey""")
-def authorship_status_all(spark, d):
-    """As above from every line; a line that was not returned names nobody."""
+def authorship_status(spark, d):
+    """Parts as works, orders as occurrences, flags as names; a line that was not returned names nobody."""
     rows = table(spark, d, "lineitem").select("l_partkey", "l_orderkey", F.when(F.col("l_returnflag") != "N", F.concat("l_returnflag", "l_linestatus")).alias("k"))
     return works.authorship(rows, "l_partkey", "l_orderkey", "k")
 

@@ -127,5 +127,5 @@ def decoded(body: Column) -> Column:
     """struct(text, replaced): decoded by the declared charset (utf-8 or Latin-1), with U+FFFD counted."""
     charset = declared_charset(body)
     latin = F.decode(body, "ISO-8859-1")
-    text = F.when(charset.isin("utf-8", "utf8"), F.decode(body, "UTF-8")).otherwise(latin)
+    text = F.when(charset.isin("utf-8", "utf8"), F.make_valid_utf8(body.cast("string"))).otherwise(latin)
     return F.struct(text.alias("text"), (F.length(text) - F.length(F.translate(text, "�", ""))).alias("replaced"))

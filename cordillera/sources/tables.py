@@ -25,9 +25,12 @@ def csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
 
 
 def ensure_shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session, or where it is unset a local folder of our own."""
+    """``spark.checkpoint.dir`` of the session; only a single machine may leave it unset and gets a local folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="cordillera-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)

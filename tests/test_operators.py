@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cordillera.operators import aggregates, audits, blocking, cohorts, components, entities, linkage, merge, reconcile, routing
+from cordillera.operators import aggregates, audits, blocking, cohorts, components, entities, linkage, matching, merge, reconcile, routing
 from cordillera.plans import runs
-from cordillera.sources import pages, publication, tables
+from cordillera.sources import acquisition, pages, publication, records, tables
 from cordillera.streaming import incremental
 
 
@@ -202,7 +202,7 @@ def test_constraints_hold_over_whole_components(spark):
 
 def test_reconciliation(spark):
     values = spark.createDataFrame([("10.1", x) for x in ("journal.2020.12", "journal.2020", "journal.2021.12", "other.9")], "p string, s string")
-    pairs = reconcile.similar_pairs(values, "p", "s", F.substring("s", 1, 3))
+    pairs = reconcile.similar_pairs(values, "p", "s")
     assert rows(pairs, "left_suffix", "right_suffix", "how") == [("journal.2020", "journal.2020.12", "truncation"), ("journal.2020.12", "journal.2021.12", "edit")]
     checks = spark.createDataFrame([("journal.2020", "rejected"), ("journal.2020.12", "verified"), ("journal.2021.12", "verified")], "s string, st string")
     decided = reconcile.decisions(pairs, checks, "left_suffix", "right_suffix", "s", "st")
@@ -257,5 +257,120 @@ def test_large_blocks_are_not_lost(spark):
         if r.kind == "oversized":
             large.setdefault((r.block, r["size"], r.left_id), []).append(r.right_id)
     assert {k: sorted(v) for k, v in large.items()} == {(b, 5, 0): [0, 1, 2, 3, 4] for b in ("p al bo", "p al cy", "p bo cy", "t al bo cy")}
-    values = spark.createDataFrame([("10", f"abc.{k}") for k in range(4)] + [("11", "abc.1"), ("11", "abc.2")], "p string, s string")
-    assert rows(reconcile.oversized_groups(values, "p", "s", F.substring("s", 1, 3), 3)) == [("10", "abc", 4, f"abc.{k}") for k in range(4)]
+
+
+def test_near_pairs_are_all_found(spark):
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(0, 9))) for _ in range(70)})
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, before = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(row[-1] + 1, before[j] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    df = spark.createDataFrame([(k % 2, w) for w in words for k in range(2)] + [(0, None)], "s int, w string")
+    for edits in (1, 2, 3):
+        want = {(a, b): distance(a, b) for a, b in itertools.combinations(words, 2) if distance(a, b) <= edits}
+        got = reconcile.near_pairs(df, ["s"], "w", edits).collect()
+        for scope in (0, 1):
+            assert {(r["left_value"], r["right_value"]): r["distance"] for r in got if r["s"] == scope} == want
+
+
+def test_works_merge_as_one_replay_would(spark):
+    """Coarse components one by one against the whole table at once."""
+    rng = random.Random(9)
+    titles = ["estudio de la flora del norte andino", "estudio de la flora del norte andina", "notas", "historia de los caminos de hierro"]
+    nodes = []
+    for k in range(120):
+        pick = lambda n, p: sorted({f"{n}{rng.randrange(6)}" for _ in range(2)}) if rng.random() < p else []
+        nodes.append((f"n{k:03d}", rng.choice(titles), rng.choice([2019, 2020, 2020, 2021, None]), rng.choice(["article", "article", "book", "unknown"]), pick("d", 0.3), pick("i", 0.4), rng.choice(["", "ana"]), rng.choice([None, "p1"]), pick("a", 0.5), pick("v", 0.3)))
+    nodes += [(f"z{k}", *nodes[3][1:4], ["d9"], *nodes[3][5:]) for k in range(4)]
+    df = spark.createDataFrame(nodes, "id string, title string, year int, family string, dois array<string>, isbns array<string>, owner string, profile string, names array<string>, advised array<string>")
+    own = {n[0]: dict(zip(matching.NODE, n)) for n in nodes}
+    groups = {}
+    for i, n in own.items():
+        for x in n["dois"]:
+            groups.setdefault(("doi", x), []).append(i)
+        if n["year"] is not None:
+            groups.setdefault(("title", f"{n['year']:06d}|{n['title']}"), []).append(i)
+    want, _ = matching.replay(own, [(*k, sorted(v)) for k, v in groups.items() if len(v) > 1])
+    members, evidence = matching.work_components(df)
+    assert dict(rows(members)) == want and len(set(want.values())) < len(want)
+    assert {r["kind"] for r in evidence.collect()} == {"edge", "review"}
+    large = spark.createDataFrame([(f"m{k}", "una historia de los caminos", 2000, "article", [], [], "", None, [], []) for k in range(5)], df.schema)
+    members, evidence = matching.work_components(large, most=4)
+    assert all(r["id"] == r["root"] for r in members.collect()) and rows(evidence, "kind", "left_id") == [("oversized", "m0")]
+
+
+def test_guards_on_the_table(spark):
+    """The two guarded queries against one replay over all parts and customers."""
+    from cordillera.queries import QUERIES
+
+    def replay(members, merge):
+        for _, own in itertools.groupby(sorted(members, key=lambda r: (r[1], r[0])), key=lambda r: r[1]):
+            anchors = []
+            for m, _ in own:
+                if not any(merge(a, m) for a in anchors):
+                    anchors.append(m)
+
+    sf = "/root/testdata/sf0.001"
+    parts = spark.read.parquet(f"{sf}/part.parquet").collect()
+    forest = components.SpreadForest({r["p_partkey"]: float(r["p_size"]) for r in parts}, 5.0)
+    replay([(r["p_partkey"], f"{r['p_name']}|{r['p_brand']}") for r in parts], forest.merge)
+    assert dict(rows(QUERIES["guarded_components"](spark, sf))) == {r["p_partkey"]: forest.find(r["p_partkey"]) for r in parts}
+    people = spark.read.parquet(f"{sf}/customer.parquet").withColumn("k", F.concat_ws("|", "c_mktsegment", F.round("c_acctbal", -2).cast("long").cast("string"))).collect()
+    forest = entities.ConstraintForest({r["c_custkey"]: ({r["c_nationkey"]},) for r in people})
+    replay([(r["c_custkey"], r["k"]) for r in people], forest.merge)
+    assert dict(rows(QUERIES["constraint_components"](spark, sf))) == {r["c_custkey"]: forest.find(r["c_custkey"]) for r in people}
+
+
+def test_pointers_and_leases_have_one_winner(spark, tmp_path):
+    where = f"file://{tmp_path}/pointer"
+    one, two = publication.Pointer(spark, where), publication.Pointer(spark, where)
+    one.publish({"version": 1, "date": "1"}, None)
+    (tmp_path / "pointer" / "00000002.taken").write_text("")
+    with pytest.raises(RuntimeError, match="being moved"):
+        two.publish({"version": 2, "date": "1"}, {"version": 1, "date": "1"})
+    late = publication.Pointer(spark, where, stale=-1)
+    late.publish({"version": 2, "date": "1"}, {"version": 1, "date": "1"})
+    assert one.read() == {"version": 2, "date": "1"}
+    store, clock = runs.Store(spark, f"file://{tmp_path}/leases"), [0.0]
+    first = runs.Lease(store, "l", 10, now=lambda: clock[0]).__enter__()
+    clock[0] = 5
+    first.renew()
+    clock[0] = 12
+    with pytest.raises(RuntimeError):
+        runs.Lease(store, "l", 10, now=lambda: clock[0]).__enter__()
+    clock[0] = 20
+    second = runs.Lease(store, "l", 10, now=lambda: clock[0]).__enter__()
+    with pytest.raises(RuntimeError, match="taken over"):
+        first.renew()
+    second.__exit__()
+    runs.Lease(store, "l", 10, now=lambda: clock[0]).__enter__()
+
+
+def test_acquisition(spark):
+    pauses = []
+    limiter = acquisition.RateLimiter(2, now=lambda: 0.0, sleep=pauses.append)
+    assert limiter.wait() == 0 and 0.5 <= limiter.wait() <= 0.55 and len(pauses) == 1
+    calls = []
+
+    def get(dataset, limit, offset):
+        calls.append(offset)
+        raise ConnectionError("no")
+
+    with pytest.raises(ConnectionError):
+        acquisition.fetch_page(get, "d", 10, 0, 3, sleep=lambda s: None)
+    assert len(calls) == 3
+
+
+def test_odd_pages(spark):
+    page = "<h3>Articulos</h3><blockquote>too short</blockquote><td><b>x<tr><blockquote>A, \"A title that is long\" 1999, Palabras: a"
+    df = spark.createDataFrame([("1", None), ("2", ""), ("3", page), ("4", "<table><tr><td>1.- x")], "id string, html string")
+    got = {r["id"]: r for r in records.person_pages(df, "id", "html", {}).collect()}
+    assert [len(got[k]["production"]) for k in "1234"] == [0, 0, 1, 0] and got["3"]["production"][0]["title"] == "A title that is long"
+    assert [r["production"] for r in records.group_pages(df, "id", "html", {}).collect()] == [[], [], [], []]
+    assert records.person_pages(df.limit(0), "id", "html", {}).collect() == []

@@ -50,11 +50,21 @@ def test_entry_points(spark):
 
 
 def test_every_order_is_linked_or_an_entity(spark, duck):
-    ids = {r[0].split("|")[0] for r in QUERIES["enrich_all_and_standalone"](spark, SF).select("id").collect()}
-    ids |= {r[0].split("|")[0] for r in QUERIES["link_all_products"](spark, SF).select("product_id").collect()}
+    ids = {r[0].split("|")[0] for r in QUERIES["enrich_and_standalone"](spark, SF).select("id").collect()}
+    ids |= {r[0].split("|")[0] for r in QUERIES["link_products"](spark, SF).select("product_id").collect()}
     assert ids == {str(k) for (k,) in duck.execute("SELECT DISTINCT l_orderkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey").fetchall()}
 
 
 def test_no_line_or_order_is_left_out(spark, duck):
-    assert QUERIES["authorship_status_all"](spark, SF).count() == duck.execute("SELECT count(DISTINCT l_partkey) FROM lineitem").fetchone()[0]
-    assert sum(r.n for r in QUERIES["snapshot_diff_all"](spark, SF).collect()) == duck.execute("SELECT count(*) FROM orders").fetchone()[0]
+    assert QUERIES["authorship_status"](spark, SF).count() == duck.execute("SELECT count(DISTINCT l_partkey) FROM lineitem").fetchone()[0]
+    assert sum(r.n for r in QUERIES["snapshot_diff"](spark, SF).collect()) == duck.execute("SELECT count(*) FROM orders").fetchone()[0]
+
+
+def test_command_line(spark, tmp_path):
+    from cordillera.__main__ import main
+
+    said = main(["--list", "--sql", "page_status", "--run", "type_distribution", "--data", SF, "--out", f"file://{tmp_path}"], spark)
+    assert "type_distribution *" in said and said[-1] == "type_distribution: written" and any("noindex" in x for x in said)
+    assert spark.read.parquet(f"file://{tmp_path}/type_distribution").columns == ["type", "records", "members"]
+    with pytest.raises(SystemExit):
+        main(["--run", "nothing", "--data", SF, "--out", "x"], spark)
