@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import partial_date
 from ..functions.text import prefer_text
+from .occurrences import merged_authors
 
 
 def prefer_spelling(rows: DataFrame, key: Column, value: str) -> DataFrame:
@@ -54,3 +56,34 @@ def superset_alias(names: DataFrame, group: str, name_key: str) -> DataFrame:
 def distinct_edges(rows: DataFrame, left: str, right: str, weight: Column) -> DataFrame:
     """One edge for each pair, with the greatest weight and how many rows bear it out."""
     return rows.groupBy(left, right).agg(F.max(weight).alias("weight"), F.count(F.lit(1)).alias("support"))
+
+
+def merged_documents(rows: DataFrame, key: str, order: list[str], arrays: list[str], texts: list[str], others: list[str], people: str) -> DataFrame:
+    """One document for each key: a fold of its versions in order.
+
+    Arrays are joined without repeats, texts take the longest and then the greatest, other values the
+    first that is there, and people (array of struct(id, full_name, role)) are merged by name and role.
+    """
+    place = F.struct(*order)
+    held = lambda c: F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(place.alias("o"), F.col(c).alias("v")))), lambda x: F.coalesce(x["v"], F.array())))
+    joined = [F.array_distinct(held(c)).alias(c) for c in arrays]
+    best = [F.max_by(c, F.when(F.coalesce(F.col(c), F.lit("")) != "", F.struct(F.length(c), F.col(c)))).alias(c) for c in texts]
+    first = [F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in others]
+    out = rows.groupBy(key).agg(F.count(F.lit(1)).alias("versions"), *joined, *best, *first, held(people).alias("__people"))
+    out = out.withColumn(people, merged_authors(F.col("__people"))).drop("__people")
+    return out.withColumn("author_count", F.size(people))
+
+
+def consensus_dates(rows: DataFrame, key: str, values: dict[str, str], as_of: str) -> DataFrame:
+    """key and a (year, month) for each of ``values`` (output name: column of date texts), from all versions at once:
+    a year that all valid ones share, and a month if they share one; a merge never lets the first version win.
+    """
+    parsed = rows.select(key, *[partial_date(F.col(c), as_of).alias(f"__{n}") for n, c in values.items()])
+    aggregates = []
+    for n in values:
+        valid = F.col(f"__{n}.status") == "valid"
+        for part in ("year", "month"):
+            v = F.when(valid, F.col(f"__{n}.{part}"))
+            aggregates.append(F.when(F.count_distinct(v) == 1, F.min(v)).alias(f"{n}_{part}"))
+    out = parsed.groupBy(key).agg(*aggregates)
+    return out.select(key, *[c for n in values for c in (F.col(f"{n}_year"), F.when(F.col(f"{n}_year").isNotNull(), F.col(f"{n}_month")).alias(f"{n}_month"))])

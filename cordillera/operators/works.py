@@ -74,3 +74,24 @@ def rehash_collisions(rows: DataFrame, work_id: str, component: str) -> DataFram
     joined = rows.join(first, work_id)
     other = F.substring(F.sha2(F.concat_ws("|", F.col(work_id), F.col(component).cast("string")), 256), 1, 24)
     return joined.withColumn(work_id, F.when(F.col(component) == F.col("__first"), F.col(work_id)).otherwise(other)).drop("__first")
+
+
+def verified_authorship(claimed: DataFrame, authorities: DataFrame, work: str) -> DataFrame:
+    """Authorship with what an authority has verified: its authors stand whatever the claims say; books whose claims
+    contradict each other publish none.  ``claimed`` is what ``authorship`` gives, with a column family.
+    """
+    known = authorities.select(F.col(work).alias("__w"), F.col("authors").alias("__a"))
+    out = claimed.join(known, F.col(work) == F.col("__w"), "left")
+    status = F.when(F.col("__a").isNotNull(), "verified").otherwise(F.col("status"))
+    authors = F.when(F.col("__a").isNotNull(), F.col("__a")).when(F.col("status") == "conflict", None).otherwise(F.col("authors"))
+    return out.select(work, "claims", status.alias("status"), authors.alias("authors"))
+
+
+def name_aliases(names: Column) -> Column:
+    """Names (sorted token keys) without those of two tokens or more that are part of exactly one longer name."""
+    tokens = lambda n: F.split(n, " ")
+
+    def longer(n: Column) -> Column:
+        return F.filter(names, lambda m: (F.size(tokens(m)) > F.size(tokens(n))) & (F.size(F.array_except(tokens(n), tokens(m))) == 0))
+
+    return F.filter(names, lambda n: ~((F.size(tokens(n)) >= 2) & (F.size(longer(n)) == 1)))
