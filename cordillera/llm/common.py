@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import os
 import tempfile
 from collections.abc import Callable
@@ -43,6 +44,12 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffles and checkpoints that no table needs any more; it does so when their objects are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: Ids up to which a set of documents is broadcast; a larger one meets the documents in a shuffle.
 BROADCAST_IDS = 200_000
 

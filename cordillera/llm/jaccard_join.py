@@ -12,23 +12,31 @@ d <= e between linked documents their distances to any pivot differ by e at most
     to every other pivot is 1 or comes with few shared hashes, so it belongs to the
     Voronoi region of its nearest pivots, and is replicated to those farther ones it
     cannot leave without risking a link.
-3.  In a region, members within e of the pivot are in its component.  A small region
-    is compared by one task.  A large one is cut once: members are dealt to
-    rings by their distance to the pivot and rings to blocks of bounded size, and
-    pairs of blocks meet whose rings are no farther apart than e, unless both lie
-    within e of the pivot.
-4.  Verified links, reduced to a spanning forest in each task, give the components.
+3.  A region of up to ``BLOCK`` members is compared by one task.  Members of larger ones
+    are looked at once more, with prefixes in another order: hashes that made regions
+    large come last, by a bitmap of fixed size that every task has.  Any order that all
+    tasks agree on finds every link, so what many documents share stops to bring them
+    together, unless they have little else.
+4.  Regions that stay large are divided by metric: up to ``PIVOTS`` of their members become
+    pivots, each member goes to the cell of its nearest pivot, and to each later cell whose
+    pivot is no more than 2e farther, since a link could reach there.  Members within e of
+    a pivot are linked to it; a cell whose members are all linked to one pivot is done.
+    Cells are regions again, small or divided in turn; a region that its pivots do not part
+    is compared in pairs of blocks, except those whose members are linked already.
+5.  Verified links, reduced to a spanning forest in each task, give the components.
 
 Nothing is sampled or capped.  Shingles are 64-bit hashes of their words.  Null texts
 and texts without words have no shingles, link with nothing and are their own
 component; a text with fewer words than a shingle is one shingle.  Repeated rows are
-equal sets.  Rows without an id are left out, and ``keep_one_of_each`` keeps them.
-Other columns are ignored, and an empty table gives an empty result.
+equal sets.  Rows that repeat an id or have none are documents like others; a component
+takes the least id that its rows have, or null.  ``keep_one_of_each`` keeps one row of
+each component.  Other columns are ignored, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .bpe import spread
-from .common import BROADCAST_IDS, frugal, grouped, partitions, settled, sized, without
+from .common import BROADCAST_IDS, frugal, grouped, keyed, partitions, release, settled, sized
 from .components import Forest, components
 from .words import mix, slices, spans_hash, words_of
 
@@ -47,8 +55,23 @@ PERCENT = 75
 COMMON = 10
 #: Prefix hashes in one packed slice.
 SLICE = 300_000
-#: Members of a region, or of a block of one, that a task compares at once.
-BLOCK = 256
+#: Members of a region that a task compares.
+BLOCK = 1_024
+#: Sets whose intersections with others are counted at once.
+LEAF = 256
+#: Members of large regions that one task of a later level looks at.
+LEVEL_ROWS = 512
+#: Times that members are looked at, each time in a new order of hashes; another time is worth it
+#: only while the members of large regions become fewer than so large a share of those before.
+LEVELS = 4
+SHRINK = 0.5
+#: Prefix hashes in one bucket, about, where members of large regions are looked at again.
+BUCKET = 100_000
+#: Bits of the map of hashes that come last.
+LATE_BITS = 1 << 23
+#: Pivots that divide a region at once, and how often regions are divided.
+PIVOTS = 16
+DEPTH = 6
 
 SLICES = "slice string, ids array<long>, sizes array<int>, sums array<long>, marks array<long>, lengths array<int>, prefix binary"
 
@@ -84,8 +107,11 @@ def prefix_lengths(sizes: np.ndarray, percent: int) -> np.ndarray:
     return np.where(sizes > 0, np.minimum(sizes, sizes - least_overlap(sizes, percent) + k), 0)
 
 
-def _prefixes(width: int, percent: int):
-    """Slices of documents: ids, set sizes, set fingerprints, and packed prefixes."""
+def _prefixes(width: int, percent: int, late: np.ndarray | None):
+    """Slices of documents: ids, set sizes, set fingerprints, and packed prefixes.
+
+    Hashes that the bitmap ``late`` marks come after all others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -107,6 +133,11 @@ def _prefixes(width: int, percent: int):
             sums = np.r_[np.uint64(0), np.cumsum(hashes)]
             marks = np.r_[np.uint64(0), np.cumsum(mix(hashes))]
             lengths = prefix_lengths(sizes, percent)
+            if late is not None:
+                at = hashes & np.uint64(8 * len(late) - 1)
+                last = late[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                hashes = hashes[np.lexsort((hashes, last, owner))]
             sums, marks = ((x[bounds[1:]] - x[bounds[:-1]]).view(np.int64) for x in (sums, marks))
             for k, x in enumerate((part.column("id").to_numpy(), sizes, sums, marks, lengths, hashes[spread(bounds[:-1], lengths)])):
                 held[k].append(x)
@@ -226,12 +257,12 @@ def _compare(percent: int):
         order = np.argsort(sizes, kind="stable")  # sizes of linked sets differ little
         at = 0
         while at < len(order):
-            end = int(np.searchsorted(sizes[order], 100 * sizes[order[min(at + BLOCK, len(order)) - 1]] / percent + 1e-9, "right"))
+            end = int(np.searchsorted(sizes[order], 100 * sizes[order[min(at + LEAF, len(order)) - 1]] / percent + 1e-9, "right"))
             part = order[at:end]
             i, j = np.nonzero(np.triu(linked(sizes[part], overlaps([sets[k] for k in part]), percent), 1))
             for a, b in zip(ids[part[i]].tolist(), ids[part[j]].tolist()):
                 forest.join(a, b)
-            at += BLOCK
+            at += LEAF
         members, roots = forest.edges()
         return pa.RecordBatch.from_arrays([pa.array(members, pa.int64()), pa.array(roots, pa.int64())], ["a", "b"])
 
@@ -248,88 +279,248 @@ def _sets(width: int):
     return run
 
 
-def _distance(batches):
-    """Distance of each member to its region's pivot."""
-    for batch in batches:
-        out = []
-        for x, p in zip(batch.column("hashes"), batch.column("pivot_hashes")):
-            x, p = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(p.as_py(), np.uint64)
-            common = len(np.intersect1d(x, p, assume_unique=True))
-            out.append((common, len(x) + len(p) - common))
-        columns = [pa.array([c for c, _ in out], pa.int64()), pa.array([u for _, u in out], pa.int64())]
-        yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("id"), *columns], ["pivot", "id", "common", "total"])
+def crossing(members: list[np.ndarray], pivots: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each member with each pivot."""
+    codes, place = np.unique(np.concatenate(pivots), return_inverse=True)
+    inside = np.zeros((len(pivots), len(codes)), bool)
+    inside[np.repeat(np.arange(len(pivots)), [len(p) for p in pivots]), place] = True
+    flat, owner = np.concatenate(members), np.repeat(np.arange(len(members)), [len(x) for x in members])
+    at = np.minimum(np.searchsorted(codes, flat), len(codes) - 1)
+    hit = codes[at] == flat
+    at, owner = at[hit], owner[hit]
+    return np.stack([np.bincount(owner[own[at]], minlength=len(members)) for own in inside], 1)
 
 
-def jaccard_links(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK, broadcast_ids: int = BROADCAST_IDS
-) -> tuple[DataFrame, DataFrame]:
-    """Members (id, size, rep: the least id with the same set) and links (a, b) between
-    representatives: a spanning forest of the verified links, from which the components follow.
+CELLS = "region string, child string, own boolean, id long, label long, a long, b long"
+
+
+def _cells(percent: int):
+    """Of members of one region (rows of kind 1) and its pivots (kind 0): cells, labels, and links with pivots.
+
+    A label is the least of the pivots that a member's nearest pivot is linked to,
+    itself included, if the member is linked to it; else what it had before.
     """
-    spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    cut = settled(texts.mapInArrow(frugal(_prefixes(width, percent)), SLICES))
-    fields = F.explode(F.arrays_zip("ids", "sizes", "sums", "marks")).alias("x")
-    every = cut.select(fields).select(F.col("x.ids").alias("id"), F.col("x.sizes").alias("size"), F.col("x.sums").alias("s"), F.col("x.marks").alias("m"))
-    classes = every.where("size > 0").groupBy("size", "s", "m").agg(F.min("id").alias("rep"))
-    members = every.join(classes, ["size", "s", "m"], "left").select("id", "size", F.coalesce("rep", "id").alias("rep"))
 
-    buckets = 4 * partitions(spark)
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        region = table.column("region")[0].as_py()
+        is_pivot = table.column("kind").to_numpy() == 0
+        ids = table.column("id").to_numpy()
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("hashes")]
+        old = table.column("label").to_pylist()
+        pivots, members = np.flatnonzero(is_pivot), np.flatnonzero(~is_pivot)
+        pivots = pivots[np.argsort(ids[pivots], kind="stable")]
+        names = [x.split()[0] for x in CELLS.split(", ")]
+        kinds = [{"string": pa.string(), "boolean": pa.bool_(), "long": pa.int64()}[x.split()[1]] for x in CELLS.split(", ")]
+        if not len(members) or not len(pivots):
+            return pa.RecordBatch.from_arrays([pa.array([], k) for k in kinds], names)
+        pivot_sets, member_sets = [sets[k] for k in pivots], [sets[k] for k in members]
+        size_p, size_m = (np.array([len(x) for x in own], np.int64) for own in (pivot_sets, member_sets))
+
+        def shares(own: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            common = crossing(own, pivot_sets)
+            total = sizes[:, None] + size_p[None, :] - common
+            return 1 - common / total, 100 * common >= percent * total
+
+        forest = Forest()
+        _, linked_p = shares(pivot_sets, size_p)
+        for i, j in zip(*np.nonzero(np.triu(linked_p, 1))):
+            forest.join(int(ids[pivots[i]]), int(ids[pivots[j]]))
+        far, linked_m = shares(member_sets, size_m)
+        nearest = far.argmin(1)
+        window = far <= far[np.arange(len(members)), nearest][:, None] + 2 * (100 - percent) / 100 + 1e-9
+        window &= np.arange(len(pivots))[None, :] > nearest[:, None]
+        window[np.arange(len(members)), nearest] = True
+        label = [forest.find(int(ids[pivots[p]])) if linked_m[k, p] else old[m] for k, (m, p) in enumerate(zip(members, nearest.tolist()))]
+        rows = [(region, f"{region}/{j}", j == nearest[k], int(ids[members[k]]), label[k], None, None) for k, j in zip(*(x.tolist() for x in np.nonzero(window)))]
+        rows += [(region, None, None, None, None, int(ids[members[k]]), int(ids[pivots[j]])) for k, j in zip(*(x.tolist() for x in np.nonzero(linked_m)))]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    return solve
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _by_group(rows: DataFrame, sets: DataFrame, group: str, percent: int) -> DataFrame:
+    """Links among the members (id) of each group, each compared by one task."""
+    dealt = rows.select(group, "id").join(sets, "id")
+    return dealt.repartition(group).sortWithinPartitions(group).mapInArrow(frugal(grouped(group, _compare(percent))), "a long, b long")
+
+
+def _pairs_of_blocks(rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links among the members of regions, block against block; members with one label are linked already."""
+    sizes = rows.groupBy("region", "label").agg(F.count(F.lit(1)).alias("c"))
+    whole = sizes.groupBy("region").agg(F.sum("c").alias("n"))
+    each = F.least(F.lit(4 * block), F.greatest(F.lit(block), F.ceil(F.col("n") / 32)))
+    parts = sized(sizes.join(whole, "region").select("region", "label", F.ceil(F.col("c") / each).cast("int").alias("parts")))
+    right = parts.select(F.col("region").alias("r"), F.col("label").alias("l"), "parts")
+    placed = settled(rows.join(right, (rows["region"] == right["r"]) & rows["label"].eqNullSafe(right["l"])).select("region", "label", "id", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part")))
+    blocks = parts.select("region", "label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    place = lambda c: F.struct(F.col("label").isNull().alias("none"), "label", "part").alias(c)
+    salts = 16
+    p = blocks.select("region", place("p"), F.pmod(F.xxhash64("label", "part"), F.lit(salts)).alias("salt"))
+    q = blocks.select("region", place("q"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
+    pairs = p.join(q, ["region", "salt"]).where("p <= q and not (p.label <=> q.label and not p.none)")
+    name = F.concat_ws("-", "region", *[F.coalesce(F.col(c).cast("string"), F.lit("n")) for c in ("p.label", "p.part", "q.label", "q.part")]).alias("pair")
+    sides = pairs.select(name, "region", "p.label", "p.part").unionByName(pairs.where("p < q").select(name, "region", "q.label", "q.part"))
+    sides = sides.select("pair", F.col("region").alias("r"), F.col("label").alias("l"), F.col("part").alias("k"))
+    same = (placed["region"] == sides["r"]) & placed["label"].eqNullSafe(sides["l"]) & (placed["part"] == sides["k"])
+    return _by_group(placed.join(sides, same).select("pair", "id"), sets, "pair", percent)
+
+
+def _divided(regions: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links in regions (region, id, label) of more than ``block`` members, by recursive cells."""
+    links: list[DataFrame] = []
+    pairs: list[DataFrame] = []
+    for depth in range(DEPTH):
+        sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+        sizes = sized(sizes.select("region", F.ceil(F.col("n") / block).cast("int").alias("parts"), F.least(F.lit(PIVOTS), F.ceil(F.col("n") / block) + 1).cast("int").alias("m")))
+        rows = regions.join(sizes, "region")
+        draw = F.xxhash64("id", F.lit(depth))
+        picks = rows.groupBy("region", "parts", F.pmod(draw, "m").alias("j")).agg(F.min_by("id", F.struct(F.xxhash64("id", F.lit(depth), F.lit(1)), "id")).alias("id"))
+        none = F.lit(None).cast("long").alias("label")
+        bundles = picks.join(sets, "id").select("region", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "id", "hashes", none)
+        own = rows.join(sets, "id").select("region", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"), F.lit(1).alias("kind"), "id", "hashes", "label")
+        dealt = own.unionByName(bundles).select(F.concat_ws(":", "region", "part").alias("deal"), "region", "kind", "id", "hashes", "label")
+        found = settled(dealt.repartition("deal").sortWithinPartitions("deal").mapInArrow(frugal(grouped("deal", _cells(percent))), CELLS))
+        links.append(found.where("b is not null and a <> b").select("a", "b"))
+        cells = found.where("child is not null")
+        stats = cells.groupBy("region", "child").agg(F.count(F.lit(1)).alias("n"), F.count_if("own").alias("own"), F.coalesce(F.max(F.col("label").isNull()) | (F.min("label") != F.max("label")), F.lit(True)).alias("open"))
+        stats = settled(stats)
+        size = F.when(F.col("open"), F.col("n")).otherwise(0)
+        parents = stats.groupBy("region").agg(F.sum("own").alias("n"), F.sum(size).alias("total"), F.max(size).alias("top")).where("total > 0")
+        parents = parents.select("region", ((F.col("total") <= 2 * F.col("n")) & (F.col("top") <= 0.75 * F.col("n"))).alias("parted"))
+        verdict = sized(stats.join(parents, "region").select("child", "n", "parted", "open"))
+        marked = cells.join(verdict, "child")
+        kids = marked.where("parted and open")
+        links.append(_by_group(kids.where(F.col("n") <= block), sets, "child", percent))
+        pairs.append(marked.where("own and not parted").select("region", "id", "label"))
+        regions = settled(kids.where(F.col("n") > block).select(F.col("child").alias("region"), "id", "label"))
+        if regions.isEmpty():
+            break
+    else:
+        pairs.append(regions)
+    links.append(_pairs_of_blocks(settled(_union(pairs)), sets, percent, block))
+    return _union(links)
+
+
+def late_bits(hashes: DataFrame, count: str) -> np.ndarray:
+    """A bitmap of the low bits of frequent hashes; of too many, those of the highest counts."""
+    level = F.floor(F.log2(count)).cast("int")
+    steps = {r["k"]: r["n"] for r in hashes.groupBy(level.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 63 rows
+    least, total = 64, 0
+    for k in sorted(steps, reverse=True):
+        total += steps[k]
+        if total > LATE_BITS // 8:
+            break
+        least = k
+    bits = F.col("hash").bitwiseAND(LATE_BITS - 1)
+    place = hashes.where(level >= least).select(F.shiftright(bits, 3).cast("int").alias("at"), F.expr("shiftleft(1, cast(hash & 7 as int))").alias("bit"))
+    rows = place.groupBy("at").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()  # at most LATE_BITS / 8 rows
+    out = np.zeros(LATE_BITS // 8, np.uint8)
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return out
+
+
+def _regions(reps: DataFrame | None, cut: DataFrame, percent: int, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Regions (pivot, id) of the members, and the hashes that two of them share with their pivot and count."""
     dealt = cut.select("slice", "prefix").mapInArrow(frugal(_to_buckets(buckets)), "bucket int, slice string, keys binary, twice binary")
     shared = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frugal(grouped("bucket", _shared)), "slice string, shared binary")
     lists = shared.groupBy("slice").agg(F.collect_list("shared").alias("shared"))
     some = cut.select("slice", "ids", "sizes", "lengths", "prefix").join(lists, "slice")
     found = some.mapInArrow(frugal(_survivors(percent, buckets)), "id long, size int, shared array<long>")
-    hashes = settled(found.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "size", F.explode("shared").alias("hash")))
+    found = found if reps is None else found.join(reps, "id", "left_semi")
+    hashes = settled(found.select("id", "size", F.explode("shared").alias("hash")))
+    del dealt, shared, lists, some, found
+    release(cut.sparkSession)
 
-    # Pivots by hash; regions by pivot.
-    pivots = hashes.groupBy("hash").agg(F.min("id").alias("pivot"), F.max("id").alias("high")).where("pivot < high")
+    pivots = hashes.groupBy("hash").agg(F.min("id").alias("pivot"), F.max("id").alias("high"), F.count(F.lit(1)).alias("df")).where("pivot < high").select("hash", "pivot", "df")
+    pivots = settled(pivots)  # so that a join with a hash that very many have can be split
     seen = hashes.join(pivots.select("hash", "pivot"), "hash").groupBy("id", "size", "pivot").agg(F.count(F.lit(1)).alias("c"))
     need = F.greatest(F.lit(1), F.floor(COMMON * F.floor((percent * F.col("size") + 99) / 100) / 100))
     farther = W.partitionBy("id").orderBy("c", F.desc("pivot")).rowsBetween(W.unboundedPreceding, 0)
     seen = seen.withColumn("left_out", F.sum("c").over(farther))
     # Of the k common hashes each of two linked members leaves out fewer than half.
-    regions = seen.where(F.col("left_out") > F.floor((need - 1) / 2)).select("pivot", "id")
-    sizes = regions.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    regions = settled(regions.join(sizes, "pivot").select("pivot", "id", "n"))
-    wanted = regions.select("id").unionByName(regions.where(F.col("n") > block).select(F.col("pivot").alias("id"))).distinct()
-    sets = settled(texts.join(sized(wanted, broadcast_ids), "id", "left_semi").mapInArrow(frugal(_sets(width)), "id long, hashes binary"))
-
-    small = regions.where(F.col("n") <= block).join(sets, "id").select("pivot", "id", "hashes")
-    links = small.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(frugal(grouped("pivot", _compare(percent))), "a long, b long")
-    return members, links.unionByName(_large(regions.where(F.col("n") > block), sets, percent, block))
-
-
-def _large(regions: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links in regions of more than ``block`` members."""
-    pivot_sets = sets.select(F.col("id").alias("pivot"), F.col("hashes").alias("pivot_hashes"))
-    own = regions.join(sets, "id").select("pivot", "id", "hashes")
-    far = settled(own.join(pivot_sets, "pivot").mapInArrow(frugal(_distance), "pivot long, id long, common long, total long"))
-    near = far.where((100 * F.col("common") >= percent * F.col("total")) & (F.col("id") != F.col("pivot"))).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
-    # Rings half of e wide: linked members are two rings apart at most; rings 0 and 1 are within e.
-    ring = F.floor((1 - F.col("common") / F.col("total")) * 200.0 / (100 - percent) + 1e-9).cast("int")
-    placed = far.select("pivot", "id", ring.alias("ring"))
-    counts = placed.groupBy("pivot", "ring").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("parts"))
-    placed = settled(placed.join(counts, ["pivot", "ring"]).select("pivot", "id", "ring", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part")))
-    p = counts.select("pivot", F.col("ring").alias("ring_p"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part_p"))
-    q = counts.select("pivot", F.col("ring").alias("ring_q"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part_q"))
-    pairs = p.join(q, "pivot").where("ring_q - ring_p between 0 and 2 and ring_q >= 2 and (ring_p < ring_q or part_p <= part_q)")
-    name = F.concat_ws("-", "pivot", "ring_p", "part_p", "ring_q", "part_q").alias("pair")
-    sides = pairs.select(name, "pivot", F.col("ring_p").alias("ring"), F.col("part_p").alias("part"))
-    sides = sides.unionByName(pairs.where("ring_p <> ring_q or part_p <> part_q").select(name, "pivot", F.col("ring_q").alias("ring"), F.col("part_q").alias("part")))
-    dealt = placed.join(sides, ["pivot", "ring", "part"]).select("pair", "id").join(sets, "id")
-    links = dealt.repartition("pair").sortWithinPartitions("pair").mapInArrow(frugal(grouped("pair", _compare(percent))), "a long, b long")
-    return near.unionByName(links)
+    return settled(seen.where(F.col("left_out") > F.floor((need - 1) / 2)).select("pivot", "id")), pivots
+
+
+def jaccard_links(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK, broadcast_ids: int = BROADCAST_IDS
+) -> tuple[DataFrame, DataFrame]:
+    """Members (id, size, rep: the least id with the same set) and links (a, b) between
+    representatives: a spanning forest of the verified links, from which the components follow.
+
+    Ids are expected to be there and to differ (see ``keyed``).
+    """
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    cut = settled(texts.mapInArrow(frugal(_prefixes(width, percent, None)), SLICES))
+    fields = F.explode(F.arrays_zip("ids", "sizes", "sums", "marks")).alias("x")
+    every = cut.select(fields).select(F.col("x.ids").alias("id"), F.col("x.sizes").alias("size"), F.col("x.sums").alias("s"), F.col("x.marks").alias("m"))
+    classes = settled(every.where("size > 0").groupBy("size", "s", "m").agg(F.min("id").alias("rep")))  # so that the join with a set that very many have can be split
+    members = every.join(classes, ["size", "s", "m"], "left").select("id", "size", F.coalesce("rep", "id").alias("rep"))
+
+    own, reps, late, before, links, buckets = texts, classes.select(F.col("rep").alias("id")), None, None, [], 2 * partitions(docs.sparkSession)
+    for level in range(LEVELS):
+        regions, pivots = _regions(reps, cut, percent, buckets)
+        sizes = regions.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        large = sized(sizes.where(F.col("n") > block).select("pivot", F.lit(True).alias("large")), broadcast_ids)
+        marked = regions.join(large, "pivot", "left")
+        small = marked.where("large is null").join(sizes.where(F.col("n") <= block).select("pivot"), "pivot").select("pivot", "id")
+        rest = settled(marked.where("large").select("pivot", "id"))
+        ids = rest.select("id").distinct()
+        count = ids.count()
+        release(docs.sparkSession)
+        # Regions that another order does not make smaller are divided by metric.
+        last = not count or level + 1 == LEVELS or (before is not None and count > SHRINK * before)
+        wanted = small.select("id")
+        if last and count:
+            wanted = wanted.unionByName(rest.select("id"))
+        sets = settled(own.join(sized(wanted.distinct(), broadcast_ids), "id", "left_semi").mapInArrow(frugal(_sets(width)), "id long, hashes binary"))
+        links.append(_by_group(small, sets, "pivot", percent))
+        if last:
+            if count:
+                links.append(_divided(rest.select(F.col("pivot").cast("string").alias("region"), "id", F.lit(None).cast("long").alias("label")), sets, percent, block))
+            break
+        frequent = late_bits(pivots.where(F.col("df") > min(32, block)).join(large, "pivot").select("hash", "df"), "df")
+        late = frequent if late is None else late | frequent
+        parts = min(4 * partitions(docs.sparkSession), -(-count // LEVEL_ROWS))
+        own, reps, before = settled(own.join(sized(ids, broadcast_ids), "id", "left_semi").repartition(parts)), None, count
+        cut = settled(own.mapInArrow(frugal(_prefixes(width, percent, late)), SLICES))
+        hashes = cut.agg(F.sum(F.octet_length("prefix"))).first()[0] // 8
+        buckets = max(1, min(2 * partitions(docs.sparkSession), hashes // BUCKET))
+    return members, _union(links)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """One row per document: id, n_shingles, component_id."""
-    members, links = jaccard_links(docs, id_col, text_col, width, percent, block, broadcast_ids)
+    return _components(docs, id_col, text_col, width, percent, block, broadcast_ids)[0].select(F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"), "component_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, block: int, broadcast_ids: int) -> tuple[DataFrame, bool]:
+    """One row per document: key (see ``keyed``), id, size, root (a key) and component_id, and whether any key is no id."""
+    rows, odd = keyed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", F.col("text"))
+    members, links = jaccard_links(rows.select("__key", "text"), "__key", "text", width, percent, block, broadcast_ids)
     roots = components(links).select(F.col("node").alias("rep"), "component")
-    out = members.join(roots, "rep", "left")
-    return out.select(F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    out = members.join(roots, "rep", "left").select(F.col("id").alias("key"), "size", F.coalesce("component", "rep").alias("root"))
+    if not odd:
+        return out.select("key", F.col("key").alias("id"), "size", "root", F.col("root").alias("component_id")), False
+    names = sized(rows.where("not (__key <=> id)").select(F.col("__key").alias("key"), F.col("id").alias("own"), F.lit(True).alias("other")).distinct(), broadcast_ids)
+    out = settled(out.join(names, "key", "left").select("key", F.when(F.col("other"), F.col("own")).otherwise(F.col("key")).alias("id"), "size", "root"))
+    return out.join(out.groupBy("root").agg(F.min("id").alias("component_id")), "root"), True
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the least id of each component, with all its columns."""
-    return without(docs, jaccard_components(docs, id_col, text_col).where(F.col("component_id") != F.col(id_col)), id_col)
+    """Of each component the document with the least id, with all its columns."""
+    rows, odd = _components(docs, id_col, text_col, SHINGLE, PERCENT, BLOCK, BROADCAST_IDS)
+    if not odd:
+        gone = sized(rows.where("component_id <> id").select(F.col("id").alias("__gone_id")))
+        return docs.join(gone, docs[id_col] == gone["__gone_id"], "left_anti")
+    # Keys tell rows apart; of a component the row stays that has the least id, then the least key.
+    marked, _ = keyed(docs, id_col, F.col(text_col))
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("best"))
+    stays = rows.join(best, "root").where("key = best.key").groupBy("key").agg(F.count(F.lit(1)).alias("__rows"))
+    marked = marked.join(settled(stays).withColumnRenamed("key", "__key"), "__key")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = marked.where("__rows > 1").groupBy("__key").agg(F.any_value(whole).alias("__row")).select("__row.*")
+    return marked.where("__rows = 1").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(one)
