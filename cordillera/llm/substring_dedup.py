@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import spread
-from .common import frugal, lasting_mark, settled
+from .common import frugal, lasting_mark, release, settled
 from .words import mix, slices, spans_hash, words_of
 
 WINDOW = 50
@@ -249,6 +249,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs = settled(texts.mapInArrow(frugal(_occurrences(window, seed)), "mini long, id long, mark long, first int, n int"))
     counted = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("low"), F.max("id").alias("high"))
     shared = settled(runs.join(counted.where("low < high").select("mini", "c"), "mini"))
+    del runs, counted
+    release(docs.sparkSession)
     listed = lambda rows: rows.groupBy("id", "mark").agg(F.collect_set(F.struct("mini", "first", "n")).alias("runs"))
     cool = texts.join(listed(shared.where(F.col("c") <= hot)), ["id", "mark"]).select("id", "mark", "text", "runs")
     cool = cool.mapInArrow(frugal(_packed(window)), "mini long, id long, mark long, first int, packed binary")
