@@ -1,4 +1,16 @@
-"""A corpus pipeline: each stage works on what its predecessor kept."""
+"""A corpus pipeline: each stage works on what its predecessor kept.
+
+The stages are operators of ``cordillera.llm`` with their defaults, and what they say
+of odd rows holds here: texts that are null or empty have the score of no neighbours,
+are one group of equal texts, link with no near copy, lose no words, and are one
+sequence piece of one token.  Very long texts go through whole.  Rows that repeat an id
+or have none are documents like others, of which each stage keeps or drops one row at a
+time.  Ties go by id.  Columns beside the id and the text stay as they are up to the
+last stage, whatever their names.  An empty table gives an empty result.
+
+Each stage's table is written to the shared folder and read again; a table is deleted
+when its successor has been written, the last one stays, as the result reads it.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +18,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cordillera.llm.common import shared_path, table
+from cordillera.llm.common import remove, shared_path, table
 from cordillera.llm.exact_dedup import exact_dedup
 from cordillera.llm.jaccard_join import keep_one_of_each
 from cordillera.llm.packing import pack_documents
@@ -58,6 +70,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         out.write.parquet(f"{where}/{k}")
+        if k:
+            remove(spark, f"{where}/{k - 1}")
         docs = spark.read.schema(out.schema).parquet(f"{where}/{k}")
     return docs
 
