@@ -24,8 +24,16 @@ CRITICAL = frozenset({
 INFORMATION = frozenset({"missing_abstract", "missing_group", "multiple_source_summaries", "mixed_open_and_closed_end_dates"})
 
 PEOPLE = "array<struct<id: string, full_name: string, type: string>>"
-OCCURRENCE = "struct<id: string, source_kind: string, source_id: string, route_rule: string, namespace: string, project_type: string, summary: string, event_type: string, scope: string, start_date: string, end_date: string, registration_number: string, country: string, holder: string, presentation_date: string, findings: array<string>>"
-DOCUMENT = f"id string, titles array<string>, types array<string>, target_types array<string>, identity_key string, target_entity string, family string, version string, author_conflicts int, role_resolutions int, authors {PEOPLE}, author_count int, groups array<string>, abstract string, date_init string, year_init int, date_end string, year_end int, occurrences array<{OCCURRENCE}>"
+OCCURRENCE_FIELDS = {f: "string" for f in (
+    "id", "source_kind", "source_id", "route_rule", "namespace", "project_type", "summary", "event_type", "scope", "start_date", "end_date", "registration_number", "country", "holder", "presentation_date",
+)} | {"findings": "array<string>"}
+OCCURRENCE = "struct<" + ", ".join(f"{k}: {v}" for k, v in OCCURRENCE_FIELDS.items()) + ">"
+DOCUMENT_FIELDS = {
+    "id": "string", "titles": "array<string>", "types": "array<string>", "target_types": "array<string>", "identity_key": "string", "target_entity": "string", "family": "string", "version": "string",
+    "author_conflicts": "int", "role_resolutions": "int", "authors": PEOPLE, "author_count": "int", "groups": "array<string>", "abstract": "string", "date_init": "string", "year_init": "int", "date_end": "string",
+    "year_end": "int", "occurrences": f"array<{OCCURRENCE}>",
+}
+DOCUMENT = ", ".join(f"{k} {v}" for k, v in DOCUMENT_FIELDS.items())
 
 c = F.col
 

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import bibliography, dates, identifiers, text
 from ..operators import routing
@@ -23,24 +22,25 @@ def _literal(value) -> str:
     return str(value) if isinstance(value, (int, float)) else "'" + value.replace("'", "''") + "'"
 
 
-def cases(name: str, given: str, rows: list[tuple], wanted: str, values: list[tuple]):
+def cases(case: str, given: str, rows: list[tuple], wanted: str, values: list[tuple]):
     """Register a function of the rows (columns ``given``) that must give ``values`` (columns ``wanted``) in their order.
 
     Both begin with the case's number, n.
     """
-    inputs, outputs = T._parse_datatype_string("n int, " + given), T._parse_datatype_string("n int, " + wanted)
+    inputs = "n int, " + given
+    outputs = [tuple(x.split()) for x in ("n int, " + wanted).split(", ")]  # name and kind; no session is there yet
 
     def add(f: Callable[[DataFrame], list[Column]]):
         def run(spark, d):
             df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], inputs)
-            return df.select("n", *[c.cast(o.dataType).alias(o.name) for c, o in zip(f(df), outputs.fields[1:])])
+            return df.select("n", *[c.cast(kind).alias(name) for c, (name, kind) in zip(f(df), outputs[1:])])
 
-        run.__name__, run.__doc__ = name, f.__doc__
-        QUERIES[name] = run
+        run.__name__, run.__doc__ = case, f.__doc__
+        QUERIES[case] = run
         body = ", ".join("(" + ", ".join(map(_literal, (k, *v))) + ")" for k, v in enumerate(values))
-        casts = ", ".join(f'"{o.name}"::{_KINDS[o.dataType.simpleString()]} AS "{o.name}"' for o in outputs.fields)
-        names = ", ".join(f'"{o.name}"' for o in outputs.fields)
-        ORACLE_SQL[name] = f"SELECT {casts} FROM (VALUES {body}) t({names})"
+        casts = ", ".join(f'"{o}"::{_KINDS[kind]} AS "{o}"' for o, kind in outputs)
+        names = ", ".join(f'"{o}"' for o, _ in outputs)
+        ORACLE_SQL[case] = f"SELECT {casts} FROM (VALUES {body}) t({names})"
         return run
 
     return add

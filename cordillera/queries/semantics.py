@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import semantics
 from ..sources.tables import table
 
 QUERIES, ORACLE_SQL = {}, {}
 AS_OF = "2024-01-01"
-_FIELDS = [x.name for x in T._parse_datatype_string(semantics.DOCUMENT).fields]
-_PARTS = [x.name for x in T._parse_datatype_string(semantics.OCCURRENCE).fields]
+_FIELDS, _PARTS = list(semantics.DOCUMENT_FIELDS), list(semantics.OCCURRENCE_FIELDS)
 
 
 def _occurrence(**own) -> tuple:
@@ -191,10 +189,8 @@ def _projects(spark, d):
         "groups": F.array(F.lit("g")), "abstract": F.when(F.col("o_orderpriority") != "2-HIGH", "About"), "date_init": F.when(F.col("o_orderstatus") != "P", day), "year_init": F.when(F.col("o_orderstatus") == "O", F.year("o_orderdate")).when(F.col("o_orderstatus") == "F", F.year("o_orderdate") - 1),
     }
     parts = {"id": F.lit("o"), "source_kind": F.lit("person"), "source_id": F.lit("1"), "route_rule": F.lit("r"), "project_type": F.lit("t"), "start_date": day}
-    kinds = {x.name: x.dataType for x in T._parse_datatype_string(semantics.OCCURRENCE).fields}
-    values["occurrences"] = F.array(F.struct(*[parts.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()]))
-    schema = T._parse_datatype_string(semantics.DOCUMENT)
-    return rows.select(*[values.get(x.name, F.lit(None)).cast(x.dataType).alias(x.name) for x in schema.fields])
+    values["occurrences"] = F.array(F.struct(*[parts.get(k, F.lit(None)).cast(t).alias(k) for k, t in semantics.OCCURRENCE_FIELDS.items()]))
+    return rows.select(*[values.get(k, F.lit(None)).cast(t).alias(k) for k, t in semantics.DOCUMENT_FIELDS.items()])
 
 
 @query(f"""WITH {_AUDITED}, r AS (SELECT code, id, row_number() OVER (PARTITION BY code ORDER BY id) AS k FROM f WHERE code IS NOT NULL)
