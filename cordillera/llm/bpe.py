@@ -302,7 +302,7 @@ def tokenizer_path(name: str, folder: str | None = None) -> str:
 
 
 #: Texts of about so many bytes are encoded at once.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 3_000_000
 
 
 def encoded(batches: Iterator[pa.RecordBatch], coder: Codec, text_col: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

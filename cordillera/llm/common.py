@@ -156,8 +156,14 @@ def _libc():
         return None
 
 
+#: What empties tables that a module keeps between tasks.
+FORGET: list[Callable[[], None]] = []
+
+
 def tidy() -> None:
     """Give memory that is free back to the system: an idle Python worker must not hold its peak."""
+    for forget in FORGET:
+        forget()
     pa.default_memory_pool().release_unused()
     if _libc() is not None:
         _libc().malloc_trim(0)

@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from .bpe import buffers
+from .common import FORGET
 
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -35,6 +36,13 @@ def _powers_to(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def _forget_powers() -> None:
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+FORGET.append(_forget_powers)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
