@@ -15,8 +15,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows in one Arrow batch; texts are long, and both sides of the pipe hold a batch.
+ARROW_ROWS = "2000"
+
+
+def lean(spark: SparkSession) -> None:
+    """Small Arrow batches, unless the session has set a size of its own."""
+    name, usual = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if spark.conf.get(name) == usual:
+        spark.conf.set(name, ARROW_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read by Spark so that any store it knows will do."""
+    lean(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

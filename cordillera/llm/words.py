@@ -21,7 +21,7 @@ from .common import FORGET
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 #: Texts of about so many bytes are cut into words at once.
-BATCH_BYTES = 1_500_000
+BATCH_BYTES = 1_000_000
 
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 

@@ -18,7 +18,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cordillera.llm.common import remove, shared_path, table
+from cordillera.llm.common import lean, remove, shared_path, table
 from cordillera.llm.exact_dedup import exact_dedup
 from cordillera.llm.jaccard_join import keep_one_of_each
 from cordillera.llm.packing import pack_documents
@@ -28,26 +28,31 @@ from cordillera.llm.substring_dedup import substring_dedup
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    lean(spark)
     return keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the largest doc_id stays."""
+    lean(spark)
     return exact_dedup(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the smallest doc_id stays."""
+    lean(spark)
     return keep_one_of_each(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut out; documents without any stay as they are."""
+    lean(spark)
     return substring_dedup(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents, placed in training sequences."""
+    lean(spark)
     return pack_documents(docs)
 
 
