@@ -38,7 +38,7 @@ from .toxicity import batches_of, held_out, labelled_sample, share_of_ones
 MAX_REFERENCE = 4_096
 DIMENSIONS = 48
 #: Terms that shape n-grams, marks of equal neighbours and words may become.
-SHAPE_TERMS, MARK_TERMS, WORD_TERMS = 2_048, 4, 8_192
+SHAPE_TERMS, MARK_TERMS, WORD_TERMS = 2_048, 4, 4_096
 TERMS = SHAPE_TERMS + MARK_TERMS + WORD_TERMS
 NEIGHBOURS = 15
 #: Similarities below it do not vote.
@@ -200,8 +200,8 @@ class Space:
         return np.clip(out, 0, 1)
 
 
-def sample_terms(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Weighed term counts and labels of the sample's texts, in order of id."""
+def sample_terms(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weighed term counts of the sample's texts in order of id, how many texts hold each term, and labels."""
 
     def run(batches):
         for batch in batches:
@@ -218,18 +218,20 @@ def sample_terms(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     rows = sample.mapInArrow(frugal(run), "labelled_id long, y int, places binary, values binary").toArrow()
     rows = rows.sort_by([("labelled_id", "ascending"), ("y", "ascending")])
-    weighted = np.zeros((len(rows), TERMS), np.float32)
+    weighted, held = np.zeros((len(rows), TERMS), np.float32), np.zeros(TERMS, np.int64)
     for k, (at, value) in enumerate(zip(rows.column("places"), rows.column("values"))):
-        weighted[k, np.frombuffer(at.as_py(), np.int32)] = np.frombuffer(value.as_py(), np.float32)
-    return weighted, rows.column("y").to_numpy().astype(float)
+        at = np.frombuffer(at.as_py(), np.int32)
+        weighted[k, at] = np.frombuffer(value.as_py(), np.float32)
+        held[at] += 1
+    return weighted, held, rows.column("y").to_numpy().astype(float)
 
 
 def fit(sample: DataFrame, share: float | None = None) -> Space:
-    weighted, labels = sample_terms(sample)
+    weighted, held, labels = sample_terms(sample)
     count = len(labels)
     if not count:
         return Space(np.zeros((TERMS, 1)), np.zeros((0, 1)), labels)
-    idf = np.log((1 + count) / (1 + (weighted > 0).sum(0))) + 0.3
+    idf = np.log((1 + count) / (1 + held)) + 0.3
     weighted *= idf.astype(np.float32)
     rank = min(DIMENSIONS, count)
     basis = np.random.default_rng(7).standard_normal((count, min(count, rank + 16))).astype(np.float32)
