@@ -34,10 +34,12 @@ def clean_value(x: Column, longest: int = 300) -> Column:
 
 
 def clean_pages(x: Column) -> Column:
-    """``a`` or ``a-b`` with b not below a; null otherwise."""
-    digits = F.regexp_extract(F.regexp_replace(x, r"\s|pp?\.?", ""), r"^(\d{1,6})(?:[-–](\d{1,6}))?$", 0)
-    span = page_range(digits)
-    good = (digits != "") & (span["end"].isNull() | (span["end"] >= span["start"]))
+    """``a`` or ``a-b`` with b not below a, numbers of any length; null otherwise."""
+    form = r"^(\d+)(?:[-–](\d+))?$"
+    digits = F.regexp_extract(F.regexp_replace(x, r"\s|pp?\.?", ""), form, 0)
+    size = lambda k: F.regexp_replace(F.regexp_extract(digits, form, k), "^0+", "")
+    start, end = (F.struct(F.length(size(k)), size(k)) for k in (1, 2))
+    good = (digits != "") & ((F.regexp_extract(digits, form, 2) == "") | (end >= start))
     return F.when(good, F.regexp_replace(digits, "–", "-"))
 
 

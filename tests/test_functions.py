@@ -118,3 +118,8 @@ def test_bibliographic_structures(spark):
     assert fields == [{"Editorial": "Norma S.A.", "Lugar": "Cali"}]
     issue = values(spark, bibliography.issue_context, ["Rev X, ISSN 0378-5955 v. 12 n. 3"])[0]
     assert tuple(issue) == ("12", "3", "0378-5955")
+
+
+def test_page_numbers_of_any_length(spark):
+    inputs = ["1145070 - 1145088", "1145088-1145070", "999999-1000000", "00000000000000000012–13", "3-2", "12345678901234567890"]
+    assert values(spark, bibliography.clean_pages, inputs) == ["1145070-1145088", None, "999999-1000000", "00000000000000000012-13", None, "12345678901234567890"]
