@@ -68,3 +68,13 @@ def test_command_line(spark, tmp_path):
     assert spark.read.parquet(f"file://{tmp_path}/type_distribution").columns == ["type", "records", "members"]
     with pytest.raises(SystemExit):
         main(["--run", "nothing", "--data", SF, "--out", "x"], spark)
+
+
+def test_titles_and_links_as_written_match_sql(spark, tmp_path):
+    odd = ["<title>a&&amp</title>", "<title>x = &quot;0 &amp;lt; &amp;amp;</title>", "<title>a\x0bb \n c</title><svg><title>d</title></svg>", None, "", "<html lang='es'><a href='x'>", "<!-- <a href=\"x\"> --><A HREF=\"y\"><a id=1 href=\"z\"><a href=\"\">", "<title>é\xa0</title><title>b</title>"]
+    spark.createDataFrame(list(enumerate(odd)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = QUERIES["html_title_links"](spark, str(tmp_path)).select("id", "title", "lang", "links").collect()
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = connection.execute(f"SELECT id, title, lang, links FROM ({ORACLE_SQL['html_title_links']})").fetchall()
+    assert sorted(map(tuple, found)) == sorted(want)
