@@ -374,3 +374,32 @@ def test_odd_pages(spark):
     assert [len(got[k]["production"]) for k in "1234"] == [0, 0, 1, 0] and got["3"]["production"][0]["title"] == "A title that is long"
     assert [r["production"] for r in records.group_pages(df, "id", "html", {}).collect()] == [[], [], [], []]
     assert records.person_pages(df.limit(0), "id", "html", {}).collect() == []
+
+
+def test_parsed_records_are_handed_on_in_slices(spark):
+    import pandas as pd
+
+    pages_ = ["x" * (records.SLICE // 2), None, "y" * records.SLICE, "", "z" * (3 * records.SLICE), "w"]
+    frames = list(records.parsed_slices([pd.DataFrame({"key": list("abcdef"), "html": pages_})], "id", lambda i, page: {"n": len(page or "")}))
+    assert [list(f["id"]) for f in frames] == [["a", "b", "c"], ["d", "e"], ["f"]]
+    assert [n for f in frames for n in f["n"]] == [len(x or "") for x in pages_]
+    page = "<h3>Articulos</h3><blockquote>Ana, \"Study {} of graphs\" . En: Colombia, 1999, " + "x" * 500_000 + "</blockquote>"
+    df = spark.createDataFrame([(k, page.format(k)) for k in range(40)], "id long, html string").coalesce(1)
+    out = records.person_pages(df, "id", "html", {})
+    assert out.select("id", F.size("production").alias("n")).agg(F.count_distinct("id"), F.sum("n")).first()[:] == (40, 40)
+    read = df.mapInPandas(lambda parts: (pd.DataFrame({"n": [p["html"].str.len().sum()]}) for p in parts), "n long")
+    assert read.agg(F.max("n")).first()[0] <= 2 * records.BATCH_BYTES
+
+
+def test_scanner_finds_what_its_plain_pattern_finds():
+    import re
+
+    from cordillera.sources.markup import Scanner
+
+    marks = {"a": r"\btipo\s*:", "b": r"\bp[aá]gs?\.?\s*:?", "c": r"\b(?:ISBN|edici[oó]n)\s*:", "d": r"\bámbito\s*:"}
+    for given in (marks, marks | {"e": r"x*\d"}, marks | {"f": r"(?:no|\bv)\."}, marks | {"g": r"[^a-z ]\s*en"}):
+        plain = re.compile("|".join(f"(?P<{name}>{mark})" for name, mark in given.items()), re.I)
+        rng = random.Random(5)
+        for _ in range(300):
+            text = "".join(rng.choice(["tipo", "TIPO ", ":", " ", "pags.", "PÁG", "isbn:", "Edición :", "Ámbito:", "xx3", "no.", "v.", "#en", "é", "ſ", "\n"]) for _ in range(12))
+            assert [(m.span(), m.lastgroup) for m in Scanner(given).pattern.finditer(text)] == [(m.span(), m.lastgroup) for m in plain.finditer(text)]
