@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -195,15 +196,18 @@ def match_score(old: dict, new: dict) -> float:
         return 1.0
     if old["kind"] != new["kind"]:
         return 0.0
+    dois, isbns = (bool(set(old[f]) & set(new[f])) for f in ("dois", "isbns"))
+    near = old["year"] == new["year"] or (old["year"] is not None and new["year"] is not None and abs(old["year"] - new["year"]) <= 1)
+    if a == b:
+        return 1.0 if dois else 0.995 if isbns else 0.99
+    least = 0.65 if dois else 0.8 if isbns else 0.94 if near else 2
+    if least > 1 or SequenceMatcher(None, a, b).quick_ratio() < least:  # never below the ratio
+        return 0.0
     likeness = ratio(a, b)
-    shares = lambda f: bool(set(old[f]) & set(new[f]))
-    if shares("dois") and likeness >= 0.65:
+    if dois and likeness >= 0.65:
         return 1.0
-    if shares("isbns") and likeness >= 0.8:
+    if isbns and likeness >= 0.8:
         return 0.995
-    if a == b:
-        return 0.99
-    near = old["year"] == new["year"] or (old["year"] is not None and new["year"] is not None and abs(old["year"] - new["year"]) <= 1)
     return likeness if near and likeness >= 0.94 else 0.0
 
 
@@ -232,14 +236,20 @@ def compare_records(old: DataFrame, new: DataFrame, owner: str, fingerprint: Col
     same = counts.groupBy(owner).agg(F.sum(F.least("o", "n")).alias("unchanged"), F.sum("o").alias("old_count"), F.sum("n").alias("new_count"))
     rest = counts.where("o <> n").select(owner, "fp", (F.col("o") - F.col("n")).alias("d"), "r.*")
 
-    def solve(part: pd.DataFrame) -> pd.DataFrame:
-        rows = [{**r, "year": None if pd.isna(r["year"]) else int(r["year"]), "dois": list(r["dois"] if r["dois"] is not None else []), "isbns": list(r["isbns"] if r["isbns"] is not None else [])} for r in part.sort_values("fp").to_dict("records")]
-        many = lambda sign: [r for r in rows for _ in range(max(0, sign * int(r["d"])))]
-        a, b = many(1), many(-1)
-        return pd.DataFrame({owner: [part[owner].iloc[0]], "modified": [len(best_pairs(a, b))], "left_over": [len(a)], "fresh": [len(b)]})
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = []
+            for records in batch.column("records"):
+                rows = [{**r, "dois": r["dois"] or [], "isbns": r["isbns"] or []} for r in records.as_py()]
+                many = lambda sign: [r for r in rows for _ in range(max(0, sign * r["d"]))]  # noqa: E731, B023
+                a, b = many(1), many(-1)
+                counts.append((len(best_pairs(a, b)), len(a), len(b)))
+            columns = zip(*counts) if counts else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(owner), *(pa.array(c, pa.int64()) for c in columns)], [owner, "modified", "left_over", "fresh"])
 
     kind = dict(old.dtypes)[owner]
-    matched = rest.groupBy(owner).applyInPandas(solve, f"{owner} {kind}, modified long, left_over long, fresh long")
+    listed = rest.groupBy(owner).agg(F.sort_array(F.collect_list(F.struct("fp", "d", *fields))).alias("records"))
+    matched = listed.mapInArrow(solve, f"{owner} {kind}, modified long, left_over long, fresh long")
     out = same.join(matched, owner, "left")
     n = lambda c: F.coalesce(c, F.lit(0).cast("long"))
     return out.select(owner, "old_count", "new_count", "unchanged", n("modified").alias("modified"), (n("left_over") - n("modified")).alias("removed"), (n("fresh") - n("modified")).alias("added"))
