@@ -63,12 +63,13 @@ def merged_documents(rows: DataFrame, key: str, order: list[str], arrays: list[s
 
     Arrays are joined without repeats, texts take the longest and then the greatest, other values the
     first that is there, and people (array of struct(id, full_name, role)) are merged by name and role.
+    Versions at one place count in the order of their values, so the order of the rows decides nothing.
     """
     place = F.struct(*order)
     held = lambda c: F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(place.alias("o"), F.col(c).alias("v")))), lambda x: F.coalesce(x["v"], F.array())))
     joined = [F.array_distinct(held(c)).alias(c) for c in arrays]
     best = [F.max_by(c, F.when(F.coalesce(F.col(c), F.lit("")) != "", F.struct(F.length(c), F.col(c)))).alias(c) for c in texts]
-    first = [F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in others]
+    first = [F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(place, F.col(c)))).alias(c) for c in others]
     out = rows.groupBy(key).agg(F.count(F.lit(1)).alias("versions"), *joined, *best, *first, held(people).alias("__people"))
     out = out.withColumn(people, merged_authors(F.col("__people"))).drop("__people")
     return out.withColumn("author_count", F.size(people))

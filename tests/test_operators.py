@@ -441,3 +441,11 @@ def test_records_are_compared_without_a_group_of_python_for_each_owner(spark):
     out = matching.compare_records(old, new, "owner", F.concat_ws("|", "title", F.coalesce("year", F.lit(0)).cast("string")))
     assert rows(out) == [(1, 3, 2, 1, 1, 1, 0), (2, 1, 1, 1, 0, 0, 0), (3, 0, 1, 0, 0, 0, 1)]
     assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_versions_at_one_place_give_one_document_in_any_order_of_rows(spark):
+    kind = "k long, o int, tags array<string>, note string, first long, people array<struct<id: string, full_name: string, role: string>>"
+    versions = [(1, 0, ["N"], "n", None, []), (1, 1, ["R"], "r", 9, [("c", "Rosa", "author")]), (1, 1, ["A"], "a", 5, [("c", "Ana", "author")]), (1, 1, ["A"], "b", 7, []), (1, 2, ["R"], "r", 1, [])]
+    for order in (versions, versions[::-1], versions[2:] + versions[:2]):
+        out = merge.merged_documents(spark.createDataFrame(order, kind).coalesce(1), "k", ["o"], ["tags"], ["note"], ["first"], "people")
+        assert rows(out.select("versions", F.array_join("tags", "|"), "note", "first", F.array_join("people.full_name", "|"))) == [(5, "N|A|R", "r", 5, "Ana|Rosa")]
