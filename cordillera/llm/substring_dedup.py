@@ -45,6 +45,8 @@ PACKED_ROWS = 20_000
 SLICE_WINDOWS = 200_000
 #: Documents with hot runs up to which these are broadcast; more are joined by a shuffle.
 BROADCAST_DOCS = 200_000
+#: What texts are called while they are joined; see ``repeated_spans``.
+BODY = "__body"
 HOT_SLICES = "slice string, ids array<long>, marks array<long>, first array<long>, code array<long>, digests array<binary>, low array<long>, high array<long>"
 _SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -244,20 +246,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``mark`` tells rows of one id apart (see ``lasting_mark``).
     """
     mark = lasting_mark(docs, id_col, text_col) if mark is None else mark
-    # The same rows are shuffled by id here and in _with_spans: Spark does it once.
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), mark.alias("mark"), F.col(text_col).alias("text")).where("id is not null")
-    runs = settled(texts.mapInArrow(frugal(_occurrences(window, seed)), "mini long, id long, mark long, first int, n int"))
+    # The same rows are shuffled by id and mark here and in _with_spans. Spark does it once if both
+    # plans are the same, so a text has a name of its own: renaming to the old one is kept in some plans only.
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), mark.alias("mark"), F.col(text_col).alias(BODY)).where("id is not null")
+    with_runs = lambda rows: texts.join(rows, ["id", "mark"]).select("id", "mark", F.col(BODY).alias("text"), "runs")
+    runs = settled(texts.withColumnRenamed(BODY, "text").mapInArrow(frugal(_occurrences(window, seed)), "mini long, id long, mark long, first int, n int"))
     counted = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("low"), F.max("id").alias("high"))
     shared = settled(runs.join(counted.where("low < high").select("mini", "c"), "mini"))
     del runs, counted
     release(docs.sparkSession)
     listed = lambda rows: rows.groupBy("id", "mark").agg(F.collect_set(F.struct("mini", "first", "n")).alias("runs"))
-    cool = texts.join(listed(shared.where(F.col("c") <= hot)), ["id", "mark"]).select("id", "mark", "text", "runs")
-    cool = cool.mapInArrow(frugal(_packed(window)), "mini long, id long, mark long, first int, packed binary")
+    cool = with_runs(listed(shared.where(F.col("c") <= hot))).mapInArrow(frugal(_packed(window)), "mini long, id long, mark long, first int, packed binary")
     spans = cool.repartition("mini").sortWithinPartitions("mini").mapInArrow(frugal(_bucket(window)), "id long, mark long, begin long, stop long")
     warm = settled(listed(shared.where(F.col("c") > hot)))
     warm = F.broadcast(warm) if warm.count() <= BROADCAST_DOCS else warm
-    held = settled(texts.join(warm, ["id", "mark"]).select("id", "mark", "text", "runs").mapInArrow(frugal(_hot_slices(window)), HOT_SLICES))
+    held = settled(with_runs(warm).mapInArrow(frugal(_hot_slices(window)), HOT_SLICES))
     each = held.select("slice", F.posexplode(F.arrays_zip("digests", "low", "high")).alias("at", "x")).select("slice", "at", "x.digests", "x.low", "x.high")
     least = each.groupBy("digests").agg(F.min("low").alias("low"), F.max("high").alias("top")).where("low < top").select("digests", "low")
     back = each.select("slice", "at", "digests").join(least, "digests").groupBy("slice").agg(F.collect_list(F.struct("at", "low")).alias("lows"))
@@ -277,8 +280,8 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str, window: int, seed:
     mark = lasting_mark(docs, id_col, text_col)
     spans = repeated_spans(docs, id_col, text_col, window, seed, hot, mark)
     spans = spans.groupBy(F.col("id").alias("__span_id"), F.col("mark").alias("__span_mark")).agg(F.collect_set(F.struct("begin", "stop")).alias("__spans"))
-    known = docs.where(docs[id_col].isNotNull())
-    out = known.join(spans, (known[id_col] == spans["__span_id"]) & (mark == spans["__span_mark"]), "left").drop("__span_id", "__span_mark")
+    known = docs.withColumn("__mark", mark).select(id_col, "__mark", *[F.col(f"`{c}`") for c in docs.columns if c != id_col]).where(docs[id_col].isNotNull())
+    out = known.join(spans, (known[id_col] == spans["__span_id"]) & (known["__mark"] == spans["__span_mark"]), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__spans")
     nameless = docs.where(docs[id_col].isNull()).withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType))
     return out.unionByName(nameless)
 
@@ -289,7 +292,7 @@ def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def run(batches):
         for batch in batches:
             out: tuple[list, ...] = ([], [], [])
-            for text, spans in zip(batch.column("text"), batch.column("__spans").to_pylist()):
+            for text, spans in zip(batch.column(BODY), batch.column("__spans").to_pylist()):
                 own = (text.as_py() or "").encode().split()
                 kept = _kept(own, spans) if spans else own
                 out[0].append(len(own))
@@ -298,8 +301,8 @@ def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             columns = [batch.column("id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n_words", "n_removed", "kept_sha256"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return _with_spans(rows, "id", "text", window, seed, hot).mapInArrow(frugal(run), "id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias(BODY))
+    return _with_spans(rows, "id", BODY, window, seed, hot).mapInArrow(frugal(run), "id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("id", id_col)
 
 
 def substring_dedup(

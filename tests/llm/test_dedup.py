@@ -175,3 +175,22 @@ def test_lines_of_rows_that_repeat_an_id(spark):
     texts = [(1, "a\nb\nc"), (2, "a\nb\nc\nd"), (2, "x\ny\nz\na\nb\nc"), (2, "x\ny\nz\na\nb\nc"), (3, "q\nx\ny\nz"), (4, "u\nv\nw"), (4, "u\nv\nw")]
     got = sorted(tuple(r)[:3] for r in line_report(frame(spark, texts)).collect())
     assert got == [(1, 3, 0), (2, 4, 3), (2, 6, 3), (2, 6, 3), (3, 4, 3), (4, 3, 0), (4, 3, 0)]
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_texts_are_shuffled_once_by_substring_report(spark, tmp_path, repeated):
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = [(i, f"a{i} {passage} b{i}" if i % 3 == 0 else f"c{i}") for i in range(30)] + [(3, "again")] * repeated + [(None, passage)]
+    frame(spark, texts).write.parquet(str(tmp_path / "docs"))
+    sizes = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        out = substring_report(spark.read.parquet(str(tmp_path / "docs")))
+        got = sorted((r[0] if r[0] is not None else -1, r["n_words"], r["n_removed"]) for r in out.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == sorted([(i, 62, 60 if i else 0) if i % 3 == 0 else (i, 1, 0) for i in range(30)] + [(3, 1, 0)] * repeated + [(-1, 60, 0)])
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
