@@ -315,12 +315,15 @@ def substring_dedup(
     """
     marked = _with_spans(docs, id_col, text_col, window, seed, hot)
 
-    @F.pandas_udf("string")
-    def cut(texts, spans):
-        import pandas as pd
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, spans in batches:
+            yield pa.array([b" ".join(_kept(t.encode().split(), s)).decode() if s else t for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
 
-        return pd.Series([b" ".join(_kept(t.encode().split(), s)).decode() if s is not None and len(s) else t for t, s in zip(texts, spans)], dtype=object)
+    @F.arrow_udf("string")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        yield from frugal(run)(batches)
 
+    cut = cut.asNondeterministic()  # else Spark has a second worker cut each text again for the condition below
     text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(cut(F.col(text_col), F.col("__spans")))
     out = marked.withColumn("__cut", text).where(F.col("__spans").isNull() | (F.col("__cut") != ""))
     columns = [F.col("__cut").alias(text_col) if c == text_col else F.length("__cut").cast(docs.schema[c].dataType).alias(c) if c == chars_col else F.col(f"`{c}`") for c in docs.columns]

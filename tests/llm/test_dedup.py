@@ -194,3 +194,11 @@ def test_texts_are_shuffled_once_by_substring_report(spark, tmp_path, repeated):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert got == sorted([(i, 62, 60 if i else 0) if i % 3 == 0 else (i, 1, 0) for i in range(30)] + [(3, 1, 0)] * repeated + [(-1, 60, 0)])
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_cut_once_by_substring_dedup(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    out = substring_dedup(frame(spark, [(1, f"a {passage}"), (2, f"b  {passage} c"), (3, passage), (4, "x  y"), (5, None)]))
+    assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in out.collect()) == [(1, f"a {passage}", len(passage) + 2), (2, "b c", 3), (4, "x  y", 4), (5, None, None)]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ArrowEvalPython") == 1
