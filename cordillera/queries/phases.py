@@ -28,13 +28,17 @@ def query(sql: str | None):
            (SELECT string_agg('Name ' || tag || ':' || CASE WHEN k = 1 THEN c::VARCHAR ELSE '' END, '|' ORDER BY CASE WHEN tag = 'N' THEN 1 ELSE 0 END, o) FROM p WHERE p.l_partkey = r.l_partkey) AS people, count(DISTINCT tag)::INTEGER AS author_count
     FROM r GROUP BY l_partkey""")
 def merged_entities(spark, d):
-    """Lines as versions of parts: arrays joined in order, the richest text, the first value, people by name and role."""
+    """Lines as versions of parts: arrays joined in order, the richest text, the first value, people by name and role.
+
+    A line without a flag names nobody; lines without a part are counted together, but no document of theirs has arrays.
+    """
     rows = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     person = F.struct(F.col("o_custkey").cast("string").alias("id"), F.concat(F.lit("Name "), "l_returnflag").alias("full_name"), F.when(F.col("l_returnflag") == "N", "advisor").otherwise("author").alias("role"))
-    rows = rows.select("l_partkey", "l_orderkey", "l_linenumber", F.array("l_returnflag").alias("tags"), F.concat("l_linestatus", "l_returnflag").alias("note"), F.when(F.col("l_linestatus") == "F", F.col("l_suppkey")).alias("first"), F.array(person).alias("people"))
+    rows = rows.select("l_partkey", "l_orderkey", "l_linenumber", F.array("l_returnflag").alias("tags"), F.concat("l_linestatus", "l_returnflag").alias("note"), F.when(F.col("l_linestatus") == "F", F.col("l_suppkey")).alias("first"), F.when(F.col("l_returnflag").isNotNull(), F.array(person)).alias("people"))
     out = merge.merged_documents(rows, "l_partkey", ["l_orderkey", "l_linenumber"], ["tags"], ["note"], ["first"], "people")
     people = F.array_join(F.transform("people", lambda p: F.concat_ws(":", p["full_name"], F.coalesce(p["id"], F.lit("")))), "|")
-    return out.select("l_partkey", "versions", F.array_join("tags", "|").alias("tags"), "note", "first", people.alias("people"), "author_count")
+    said = lambda own, text: F.when(F.col("l_partkey").isNotNull() & (F.size(F.array_compact(own)) > 0), text)
+    return out.select("l_partkey", "versions", said("tags", F.array_join("tags", "|")).alias("tags"), "note", "first", said("people", people).alias("people"), "author_count")
 
 
 @query("""

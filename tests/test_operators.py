@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cordillera.operators import aggregates, audits, blocking, cohorts, components, entities, linkage, matching, merge, reconcile, routing
+from cordillera.operators import aggregates, audits, blocking, cohorts, components, entities, linkage, matching, merge, occurrences, reconcile, routing
 from cordillera.plans import runs
 from cordillera.sources import acquisition, pages, publication, records, tables
 from cordillera.streaming import incremental
@@ -449,3 +449,10 @@ def test_versions_at_one_place_give_one_document_in_any_order_of_rows(spark):
     for order in (versions, versions[::-1], versions[2:] + versions[:2]):
         out = merge.merged_documents(spark.createDataFrame(order, kind).coalesce(1), "k", ["o"], ["tags"], ["note"], ["first"], "people")
         assert rows(out.select("versions", F.array_join("tags", "|"), "note", "first", F.array_join("people.full_name", "|"))) == [(5, "N|A|R", "r", 5, "Ana|Rosa")]
+
+
+def test_an_author_without_a_name_leaves_advisors_in(spark):
+    people = [("a", None, "author"), ("b", "Ana", "advisor"), ("c", "Rosa", "author")]
+    df = spark.createDataFrame([(people,), ([*people, ("b", "Ana", "author")],)], "people array<struct<id: string, full_name: string, role: string>>")
+    got = [[(p["id"], p["full_name"], p["role"]) for p in r[0]] for r in df.select(occurrences.merged_authors(F.col("people"))).collect()]
+    assert got == [[people[0], people[2], people[1]], [people[0], people[2], ("b", "Ana", "author")]]

@@ -78,3 +78,16 @@ def test_titles_and_links_as_written_match_sql(spark, tmp_path):
     connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     want = connection.execute(f"SELECT id, title, lang, links FROM ({ORACLE_SQL['html_title_links']})").fetchall()
     assert sorted(map(tuple, found)) == sorted(want)
+
+
+def test_merged_entities_of_lines_without_flag_or_part_match_sql(spark, tmp_path):
+    orders = [(1, 7), (2, 8), (3, None)]
+    lines = [(1, 5, 9, 1, None, "F"), (1, 5, 4, 2, "N", "O"), (2, 5, 3, 1, "A", "F"), (2, 6, 2, 2, None, None), (3, None, 1, 1, "A", "F"), (3, None, 1, 2, "N", "O"), (3, 8, None, 3, "", "F"), (1, 9, 4, 3, None, "F"), (2, 9, 4, 3, "N", "F")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    connection = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    found = connection.execute(ORACLE_SQL["merged_entities"])
+    names = [x[0] for x in found.description]
+    assert sorted(map(str, found.fetchall())) == sorted(str(tuple(r)) for r in QUERIES["merged_entities"](spark, str(tmp_path)).select(*names).collect())
