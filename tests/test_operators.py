@@ -456,3 +456,36 @@ def test_an_author_without_a_name_leaves_advisors_in(spark):
     df = spark.createDataFrame([(people,), ([*people, ("b", "Ana", "author")],)], "people array<struct<id: string, full_name: string, role: string>>")
     got = [[(p["id"], p["full_name"], p["role"]) for p in r[0]] for r in df.select(occurrences.merged_authors(F.col("people"))).collect()]
     assert got == [[people[0], people[2], people[1]], [people[0], people[2], ("b", "Ana", "author")]]
+
+
+def test_regular_pages_are_cut_at_tags_into_the_tree_that_the_parser_makes(spark):
+    from cordillera.sources import markup
+
+    def shown(node):
+        return node.tag, node.attrs, [shown(x) if isinstance(x, markup.Node) else x for x in node.children]
+
+    regular = ["", "x &amp; &eacute", "<table><tr><td>a<td>b<tr><td>c</table>d", '<TD Class="x"><br/><br>&nbsp;</td></p>', "<p>a<p>b<li>c > d</ul>", '<a href="x" href="y">z']
+    odd = ["a < b", "<script>x<b></script>", "<!-- <b> -->", '<a href="x&amp;y">', "<a href=x>", "<title><b></title>", "<td", "</td x>", "<a b>"]
+    for page in regular + odd:
+        parser = markup._Builder()
+        parser.feed(page)
+        parser.close()
+        assert shown(markup.tree(page)) == shown(parser.root)
+    assert all(markup._regular(page) for page in regular) and not any(markup._regular(page) for page in odd)
+    deep = "<b>" * 5000 + "x"
+    assert markup.tree(deep).text() == "x" and len(markup.tree(deep).all("b")) == 5000
+
+
+def test_products_of_group_pages_are_rows_with_the_fields_asked_for(spark):
+    row = "<tr><td></td><td>{}.- <strong>{}</strong> : {}<br>{}</td></tr>"
+    head = '<table><tr><td class="celdaEncabezado">{}</td></tr>'
+    said = ["Colombia, 2001, ISBN: 9780306406157, Autores: Ana Paz, Luis Gil", "Desde 2001 hasta 2002, Tipo de orientación: x Tutor(es)/Cotutor(es): Eva Sol", "", "páginas: 3-5, Nombre del titular: Acme, doi: 10.1234/A"]
+    page = "".join(head.format(h) + "".join(row.format(k, "Libro", f"T{k} {mark}", rest) for k, (mark, rest) in enumerate((m, r) for m in ("", "número de", "Nombre del titular: B") for r in said)) + "</table>" for h in ("Libros", "Signos distintivos", "Trabajos dirigidos/turorías", "Instituciones"))
+    df = spark.createDataFrame([("c1", page), ("c2", None), (None, page)], "id string, html string")
+    fields = ["source_section", "title", "authors", "doi", "isbn", "pages", "holder", "advisors", "start_date", "year", "validated"]
+    got = records.group_products(df, "id", "html", {"Libro": "Libro"}, fields)
+    assert got.columns == ["code", *fields]
+    whole = records.group_pages(df.where("id is not null"), "id", "html", {"Libro": "Libro"}).select("code", F.explode("production").alias("p")).select("code", *[f"p.{f}" for f in fields])
+    known = sorted(map(repr, got.where("code is not null").collect()))
+    assert len(known) == 36 and known == sorted(map(repr, whole.collect()))
+    assert got.where("code is null").count() == 36

@@ -91,3 +91,8 @@ def test_merged_entities_of_lines_without_flag_or_part_match_sql(spark, tmp_path
     found = connection.execute(ORACLE_SQL["merged_entities"])
     names = [x[0] for x in found.description]
     assert sorted(map(str, found.fetchall())) == sorted(str(tuple(r)) for r in QUERIES["merged_entities"](spark, str(tmp_path)).select(*names).collect())
+
+
+def test_group_products_are_not_grouped_as_pages_once_parsed(spark):
+    plan = QUERIES["group_products"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "MapInPandas" not in plan and "Generate" not in plan
