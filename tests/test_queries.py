@@ -96,3 +96,8 @@ def test_merged_entities_of_lines_without_flag_or_part_match_sql(spark, tmp_path
 def test_group_products_are_not_grouped_as_pages_once_parsed(spark):
     plan = QUERIES["group_products"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "MapInPandas" not in plan and "Generate" not in plan
+
+
+def test_group_sections_make_and_parse_each_page_once(spark):
+    plan = QUERIES["group_sections"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("lineitem.parquet") == 1 and "Union" not in plan
